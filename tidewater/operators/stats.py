@@ -46,7 +46,7 @@ def exact_quantiles(df: DataFrame, col: str, qs: Mapping[str, float], by: Sequen
     inside = reduce(lambda a, b: a | b, [F.col("_v").between(edge(i, 0), edge(i, 1)) for i in range(len(names))])
     gap = reduce(lambda a, b: a + b, [(F.col("_v") > edge(i, 1)).cast("int") for i in range(len(names))])
     cells = tagged.groupBy(*keys, gap.alias("_gap"), F.when(inside, F.col("_v")).alias("_in")).agg(
-        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_rep"), F.first("_n").alias("_n"))
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_rep"), F.max("_v").alias("_top"), F.first("_n").alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_rep").rowsBetween(Window.unboundedPreceding, 0)
     ranked = cells.withColumn("_cum", F.sum("_c").over(w))
     out = []
@@ -55,7 +55,10 @@ def exact_quantiles(df: DataFrame, col: str, qs: Mapping[str, float], by: Sequen
         k = F.floor(pos).cast("long")
 
         def at(rank: Column) -> Column:
-            return F.max(F.when((F.col("_cum") - F.col("_c") <= rank) & (rank < F.col("_cum")), F.col("_rep")))
+            # In a small group a bracket can miss the wanted rank by one; then it is the end of the
+            # neighbouring cell, whose smallest and largest value are known.
+            first, last = F.col("_cum") - F.col("_c"), F.col("_cum") - 1
+            return F.max(F.when(rank == last, F.col("_top")).when((rank >= first) & (rank < last), F.col("_rep")))
 
         low, high = at(k), at(F.least(k + 1, F.col("_n") - 1))
         frac = F.max(pos - k)
