@@ -88,9 +88,9 @@ def largest_rounding_below(a: Column, n: Column) -> Column:
     return F.array_max(F.filter(a, lambda x: F.rint(x) <= n))
 
 
-def largest_at_least(a: Column, n: Column) -> Column:
-    """Largest element that is >= n."""
-    return F.array_max(F.filter(a, lambda x: x >= n))
+def largest_rounding_above(a: Column, n: Column) -> Column:
+    """Largest element whose half-even rounded form is >= n."""
+    return F.array_max(F.filter(a, lambda x: F.rint(x) >= n))
 
 
 def map_keys_in_range(m: Column, low: float, high: float) -> Column:

@@ -1,3 +1,3 @@
 """Registered queries. Importing this package fills the registry."""
 
-from tidewater.plans import aggregates, joins, projections, reports, windows  # noqa: F401
+from tidewater.plans import aggregates, joins, projections, quality, reports, scalars, windows  # noqa: F401
