@@ -11,6 +11,7 @@ from tidewater.functions.numbers import missing, np_round
 from tidewater.operators.ranges import nearest_group
 from tidewater.operators.stats import exact_quantiles, quantile_value
 from tidewater.operators.windows import with_group_value
+from tidewater.staging import stage
 
 
 def _is_missing(df: DataFrame, c: str) -> Column:
@@ -55,23 +56,36 @@ def fill_by_type(df: DataFrame, text: str = "", number: float = 0) -> DataFrame:
     return df.fillna(text).fillna(number)
 
 
+def fill_stats(df: DataFrame, stats: Mapping[str, str], scale: int | None = None) -> DataFrame:
+    """Fill each column with its mean, median, min or max.
+
+    All means and extremes come from one aggregation over the rows as they were.
+    """
+    simple = {"mean": F.avg, "min": F.min, "max": F.max}
+    plain = {c: s for c, s in stats.items() if s != "median"}
+    values = {}
+    if plain:
+        one = df.agg(F.struct(*[simple[s](missing(F.col(c))).alias(c) for c, s in plain.items()])).scalar()
+        values = {c: one[c] for c in plain}
+    for c in stats.keys() - plain.keys():
+        values[c] = exact_quantiles(df, c, {"q": 0.5}).scalar()
+    def filled(c: str) -> Column:
+        value = np_round(values[c], scale) if scale is not None else values[c]
+        return F.coalesce(missing(F.col(c)), value)
+    return df.select(*[filled(c).alias(c) if c in values else F.col(c) for c in df.columns])
+
+
 def fill_stat(df: DataFrame, col: str, stat: str, scale: int | None = None) -> DataFrame:
-    """Fill with the column's mean, median, min or max."""
-    v = missing(F.col(col))
-    if stat == "median":
-        value = exact_quantiles(df, col, {"q": 0.5}).scalar()
-    else:
-        value = df.agg({"mean": F.avg, "min": F.min, "max": F.max}[stat](v)).scalar()
-    value = np_round(value, scale) if scale is not None else value
-    return df.withColumn(col, F.coalesce(v, value))
+    """Fill one column with its mean, median, min or max."""
+    return fill_stats(df, {col: stat}, scale)
 
 
 def fill_group_mean(df: DataFrame, col: str, keys: Sequence[str], key_expr: Mapping[str, Column] | None = None,
                     scale: int | None = 2, global_mean: bool = True, half_even_int: bool = False) -> DataFrame:
-    """Fill with the mean of the row's group, then with the mean of the whole column.
+    """Fill with the mean of the row's group (rounded to `scale`), then with the mean of the whole column.
 
     `key_expr` replaces a key by an expression (such as a rounded area). Rows with a missing key
-    take the whole-column mean.
+    take the whole-column mean. `half_even_int` rounds both means to whole numbers.
     """
     before = df.columns
     v = missing(F.col(col))
@@ -81,17 +95,22 @@ def fill_group_mean(df: DataFrame, col: str, keys: Sequence[str], key_expr: Mapp
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(f"_k_{k}").isNotNull()
-    mean = F.when(keyed, F.col("_m"))
+    places = 0 if half_even_int else scale
+    mean = F.when(keyed, F.col("_m") if places is None else np_round(F.col("_m"), places))
     if global_mean:
-        mean = F.coalesce(mean, df.agg(F.avg(v)).scalar())
-    mean = np_round(mean, 0 if half_even_int else scale) if scale is not None or half_even_int else mean
+        overall = df.agg(F.avg(v)).scalar()
+        mean = F.coalesce(mean, np_round(overall) if half_even_int else overall)
     return work.withColumn(col, F.coalesce(F.col("_v"), mean)).select(*before)
 
 
 def fill_chain(df: DataFrame, steps: Sequence[tuple[str, Sequence[str]]], scale: int = 2) -> DataFrame:
-    """Group-mean fills one after another; a column filled by one step may be a key of the next."""
+    """Group-mean fills one after another; a column filled by one step may be a key of the next.
+
+    Each step is staged: its result is read several times by the next, and a mean that is
+    recomputed could differ in its last bit and then no longer match as a key.
+    """
     for col, keys in steps:
-        df = fill_group_mean(df, col, keys, scale=scale)
+        df = stage(fill_group_mean(df, col, keys, scale=scale))
     return df
 
 

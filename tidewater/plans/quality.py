@@ -58,16 +58,15 @@ def fill_by_type(t: Tables) -> DataFrame:
 """)
 def fill_with_statistics(t: Tables) -> DataFrame:
     df = flats(t, "line_key", "living_area", "kitchen_area", "center_distance", "floor")
+    df = quality.fill_stats(df, {"kitchen_area": "median", "center_distance": "max", "floor": "min"})
     df = quality.fill_stat(df, "living_area", "mean", scale=2)
-    for col, stat in (("kitchen_area", "median"), ("center_distance", "max"), ("floor", "min")):
-        df = quality.fill_stat(df, col, stat)
     return df.withColumn("kitchen_area", F.round("kitchen_area", 6))
 
 
 @job("dq08_fill_group_mean", WITH + """
     , g AS (SELECT locality_name AS k, round_even(avg(ceiling_height) * 100, 0) / 100 AS m FROM flats WHERE locality_name IS NOT NULL GROUP BY 1),
     a AS (SELECT avg(ceiling_height) AS m FROM flats)
-    SELECT line_key, round(coalesce(ceiling_height, g.m, round_even(a.m * 100, 0) / 100), 5) AS ceiling_height FROM flats LEFT JOIN g ON k = locality_name, a
+    SELECT line_key, round(coalesce(ceiling_height, g.m, a.m), 5) AS ceiling_height FROM flats LEFT JOIN g ON k = locality_name, a
 """)
 def fill_group_mean(t: Tables) -> DataFrame:
     df = quality.fill_group_mean(flats(t, "line_key", "locality_name", "ceiling_height"), "ceiling_height", ["locality_name"])
@@ -76,9 +75,9 @@ def fill_group_mean(t: Tables) -> DataFrame:
 
 @job("dq09_chained_group_fill", WITH + """
     , a AS (SELECT line_key, locality_name AS loc, floors_total, balcony, coalesce(ceiling_height,
-                round_even(avg(ceiling_height) FILTER (WHERE locality_name IS NOT NULL) OVER (PARTITION BY locality_name) * 100, 0) / 100, round_even(avg(ceiling_height) OVER () * 100, 0) / 100) AS h FROM flats),
-    b AS (SELECT line_key, loc, h, balcony, coalesce(floors_total, CASE WHEN loc IS NOT NULL THEN round_even(avg(floors_total) OVER (PARTITION BY loc, h) * 100, 0) / 100 END, round_even(avg(floors_total) OVER () * 100, 0) / 100) AS f FROM a),
-    c AS (SELECT line_key, h, f, coalesce(balcony, CASE WHEN loc IS NOT NULL THEN round_even(avg(balcony) OVER (PARTITION BY loc, h, f) * 100, 0) / 100 END, round_even(avg(balcony) OVER () * 100, 0) / 100) AS b FROM b)
+                round_even(avg(ceiling_height) FILTER (WHERE locality_name IS NOT NULL) OVER (PARTITION BY locality_name) * 100, 0) / 100, avg(ceiling_height) OVER ()) AS h FROM flats),
+    b AS (SELECT line_key, loc, h, balcony, coalesce(floors_total, CASE WHEN loc IS NOT NULL THEN round_even(avg(floors_total) OVER (PARTITION BY loc, h) * 100, 0) / 100 END, avg(floors_total) OVER ()) AS f FROM a),
+    c AS (SELECT line_key, h, f, coalesce(balcony, CASE WHEN loc IS NOT NULL THEN round_even(avg(balcony) OVER (PARTITION BY loc, h, f) * 100, 0) / 100 END, avg(balcony) OVER ()) AS b FROM b)
     SELECT line_key, round(h, 5) AS ceiling_height, round(f, 5) AS floors_total, round(b, 5) AS balcony FROM c
 """)
 def chained_fill(t: Tables) -> DataFrame:
@@ -94,7 +93,7 @@ def chained_fill(t: Tables) -> DataFrame:
 
 @job("dq10_fill_by_rounded_key", WITH + """
     , g AS (SELECT round_even(total_area / 10, 0) AS k, round_even(avg(living_area) * 100, 0) / 100 AS m FROM flats GROUP BY 1)
-    SELECT line_key, coalesce(living_area, m, round_even((SELECT avg(living_area) FROM flats) * 100, 0) / 100) AS living_area FROM flats LEFT JOIN g ON k = round_even(total_area / 10, 0)
+    SELECT line_key, coalesce(living_area, m, (SELECT avg(living_area) FROM flats)) AS living_area FROM flats LEFT JOIN g ON k = round_even(total_area / 10, 0)
 """)
 def fill_by_rounded_key(t: Tables) -> DataFrame:
     df = flats(t, "line_key", "total_area", "living_area")
@@ -152,7 +151,7 @@ def fill_nearest_signed(t: Tables) -> DataFrame:
 
 @job("dq15_fill_by_several_keys", WITH + """
     , g AS (SELECT rooms AS r, balcony AS b, floors_total AS f, locality_name AS l, avg(living_area) AS m FROM flats GROUP BY ALL)
-    SELECT line_key, coalesce(living_area, round_even(coalesce(m, (SELECT avg(living_area) FROM flats)), 0)) AS living_area
+    SELECT line_key, coalesce(living_area, round_even(m, 0), round_even((SELECT avg(living_area) FROM flats), 0)) AS living_area
     FROM flats LEFT JOIN g ON r = rooms AND b = balcony AND f = floors_total AND l = locality_name
 """)
 def fill_by_several_keys(t: Tables) -> DataFrame:
