@@ -38,8 +38,12 @@ def floor_type(floor: Column, total: Column) -> Column:
 
 
 def fair_value(df: DataFrame, value: str, keys: Sequence[str], out: str, scale: int = 2) -> DataFrame:
-    """Mean of `value` over rows with the same keys, beside every row; NULL where a key is missing."""
-    priced = with_group_value(df, keys, _fair=F.avg(missing(F.col(value))))
+    """Mean of `value` over rows with the same keys, beside every row; NULL where a key is missing.
+
+    The sum is kept in decimals (six places), so a rounded mean does not depend on the order of rows.
+    """
+    v = missing(F.col(value)).cast("decimal(28,6)")
+    priced = with_group_value(df, keys, _fair=F.try_divide(F.sum(v).cast("double"), F.count(v)))
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()

@@ -81,11 +81,13 @@ def fill_stat(df: DataFrame, col: str, stat: str, scale: int | None = None) -> D
 
 
 def fill_group_mean(df: DataFrame, col: str, keys: Sequence[str], key_expr: Mapping[str, Column] | None = None,
-                    scale: int | None = 2, global_mean: bool = True, half_even_int: bool = False) -> DataFrame:
+                    scale: int | None = 2, global_mean: bool = True, half_even_int: bool = False,
+                    global_value: Column | None = None) -> DataFrame:
     """Fill with the mean of the row's group (rounded to `scale`), then with the mean of the whole column.
 
     `key_expr` replaces a key by an expression (such as a rounded area). Rows with a missing key
-    take the whole-column mean. `half_even_int` rounds both means to whole numbers.
+    take the whole-column mean, or the mean of `global_value` where that is given (a column as it
+    was before a repair). `half_even_int` rounds both means to whole numbers.
     """
     before = df.columns
     v = missing(F.col(col))
@@ -98,7 +100,7 @@ def fill_group_mean(df: DataFrame, col: str, keys: Sequence[str], key_expr: Mapp
     places = 0 if half_even_int else scale
     mean = F.when(keyed, F.col("_m") if places is None else np_round(F.col("_m"), places))
     if global_mean:
-        overall = df.agg(F.avg(v)).scalar()
+        overall = df.agg(F.avg(v if global_value is None else missing(global_value))).scalar()
         mean = F.coalesce(mean, np_round(overall) if half_even_int else overall)
     return work.withColumn(col, F.coalesce(F.col("_v"), mean)).select(*before)
 
@@ -114,14 +116,16 @@ def fill_chain(df: DataFrame, steps: Sequence[tuple[str, Sequence[str]]], scale:
     return df
 
 
-def fill_ratio(df: DataFrame, target: str, whole: str, part: str, legacy: bool = False) -> DataFrame:
-    """Fill `target` with (whole - part) * m, m being the median of target / (whole - part).
+def fill_ratio(df: DataFrame, target: str, whole: str, part: str, legacy: bool = False,
+               places: int | None = None) -> DataFrame:
+    """Fill `target` with (whole - part) * m, m being the median of target / (whole - part), rounded to `places`.
 
     `legacy=True` multiplies only `part`: whole - part * m.
     """
     rest = F.col(whole) - F.col(part)
     ratio = df.select(F.try_divide(F.col(target), rest).alias("r"))
     m = exact_quantiles(ratio, "r", {"q": 0.5}).scalar()
+    m = m if places is None else np_round(m, places)
     value = F.col(whole) - F.col(part) * m if legacy else rest * m
     return df.withColumn(target, F.coalesce(missing(F.col(target)), value))
 

@@ -1,3 +1,15 @@
 """Registered queries. Importing this package fills the registry."""
 
-from tidewater.plans import aggregates, distributions, joins, models, projections, quality, reports, scalars, windows  # noqa: F401
+from tidewater.plans import (  # noqa: F401
+    aggregates,
+    distributions,
+    joins,
+    models,
+    projections,
+    quality,
+    reports,
+    scalars,
+    sources,
+    studies,
+    windows,
+)

@@ -24,7 +24,7 @@ COLUMNS = {
     "kitchen_area": "CASE WHEN l_discount = 0.05 THEN NULL ELSE (l_quantity + p_size) * (0.125 + l_tax) END",
     "is_apartment": "CASE WHEN l_tax = 0 THEN NULL ELSE l_tax = 0.08 END",
     "balcony": "CASE WHEN l_linenumber > 4 THEN NULL ELSE CAST(l_suppkey % 4 AS DOUBLE) END",
-    "locality_name": "CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE p_brand END",
+    "locality_name": "CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_partkey % 3 = 0 THEN concat('посёлок городского типа ', p_brand) WHEN l_partkey % 3 = 1 THEN concat('посёлок ', p_brand) ELSE p_brand END",
     "center_distance": "CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE CAST((l_suppkey * 137 + l_orderkey) % 30000 AS DOUBLE) END",
     "parks_around": "CASE WHEN l_suppkey % 10 = 0 THEN NULL ELSE CAST(l_linenumber % 3 AS DOUBLE) END",
     "park_distance": "CASE WHEN l_suppkey % 10 = 0 OR l_linenumber % 3 = 0 OR l_orderkey % 31 = 0 THEN NULL ELSE CAST(l_partkey % 2500 AS DOUBLE) END",

@@ -33,7 +33,7 @@ def floor_type(t: Tables) -> DataFrame:
 
 
 @job("ml04_fair_value", WITH + """
-    , g AS (SELECT locality_name AS l, rooms AS r, balcony AS b, round_even(avg(last_price) * 100, 0) / 100 AS m FROM flats GROUP BY ALL)
+    , g AS (SELECT locality_name AS l, rooms AS r, balcony AS b, round_even(CAST(sum(CAST(last_price AS DECIMAL(28,6))) AS DOUBLE) / count(*) * 100, 0) / 100 AS m FROM flats GROUP BY ALL)
     SELECT line_key, m AS fair_price FROM flats LEFT JOIN g ON l = locality_name AND r = rooms AND b = balcony
 """)
 def fair_value(t: Tables) -> DataFrame:
@@ -42,7 +42,7 @@ def fair_value(t: Tables) -> DataFrame:
 
 
 @job("ml05_real_and_fair_by_year", WITH + """
-    , g AS (SELECT locality_name AS l, rooms AS r, round_even(avg(last_price) * 100, 0) / 100 AS m FROM flats GROUP BY ALL)
+    , g AS (SELECT locality_name AS l, rooms AS r, round_even(CAST(sum(CAST(last_price AS DECIMAL(28,6))) AS DOUBLE) / count(*) * 100, 0) / 100 AS m FROM flats GROUP BY ALL)
     SELECT year(first_day) AS y, round(avg(last_price), 3) AS real_price, round(avg(m), 3) AS fair_price FROM flats LEFT JOIN g ON l = locality_name AND r = rooms GROUP BY 1
 """)
 def real_and_fair(t: Tables) -> DataFrame:

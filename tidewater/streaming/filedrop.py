@@ -21,4 +21,4 @@ def ingest_drop(spark: SparkSession, folder: str, schema: str, target: str, chec
     query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.read.schema(schema).parquet(target)
+    return spark.read.schema(schema).parquet(target).drop("batch")
