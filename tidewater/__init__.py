@@ -1 +1,8 @@
 """Analytics jobs on Spark: reports, data repair, features, models, table upkeep and file intake."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few Python functions that run in tasks travel with the job, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.numbers import missing, np_round
-from tidewater.operators.windows import global_row_number, with_group_value
+from tidewater.operators.windows import global_row_number
 
 
 def cut(col: Column, edges: Sequence[float], labels: Sequence) -> Column:
@@ -43,11 +44,10 @@ def fair_value(df: DataFrame, value: str, keys: Sequence[str], out: str, scale:
     The sum is kept in decimals (six places), so a rounded mean does not depend on the order of rows.
     """
     v = missing(F.col(value)).cast("decimal(28,6)")
-    priced = with_group_value(df, keys, _fair=F.try_divide(F.sum(v).cast("double"), F.count(v)))
-    keyed = F.lit(True)
-    for k in keys:
-        keyed = keyed & F.col(k).isNotNull()
-    return priced.withColumn(out, F.when(keyed, np_round(F.col("_fair"), scale))).drop("_fair")
+    means = df.dropna(subset=list(keys)).groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(
+        np_round(F.try_divide(F.sum(v).cast("double"), F.count(v)), scale).alias(out))
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_g_{k}") for k in keys])
+    return df.join(means, on, "left").drop(*[f"_g_{k}" for k in keys])
 
 
 def label_index(df: DataFrame, col: str, order_by: str | None = None) -> DataFrame:

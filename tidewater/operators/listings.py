@@ -58,24 +58,27 @@ def with_ranges(df: DataFrame) -> DataFrame:
 def fill_chain(df: DataFrame, cols: Sequence[str] = CHAIN, first_key: str = "locality_name") -> DataFrame:
     """Group-mean fill of each column, keyed by the settlement and all columns filled before.
 
-    Heights are repaired first; their whole-table mean is the one before the repair.
+    Heights are repaired first; their whole-table mean is the one before the repair. Columns
+    without a gap are passed over.
     """
+    gaps = df.agg(*[F.max(missing(F.col(c)).isNull()).alias(c) for c in cols]).first()
     keys = [first_key]
     for c in cols:
+        before = F.col(c)
         if c == "ceiling_height":
-            df = df.withColumn("_before", F.col(c)).withColumn(c, quality.repair_height(F.col(c), "steps"))
-            df = quality.fill_group_mean(df, c, keys, global_value=F.col("_before")).drop("_before")
-        else:
-            df = quality.fill_group_mean(df, c, keys)
-        # Staged per step: the next one reads the result three times, and means used as keys must not be recomputed.
-        df = stage(df)
+            df = df.withColumn("_before", before).withColumn(c, quality.repair_height(before, "steps"))
+            before = F.col("_before")
+        if gaps[c]:
+            # Staged per step: the next one reads the result several times, and means used as keys must not be recomputed.
+            df = stage(quality.fill_group_mean(df, c, keys, global_value=before))
+        df = df.drop("_before")
         keys.append(c)
     return df
 
 
 def fair_prices(df: DataFrame) -> DataFrame:
     """All rows with `fair_price_m2`, the mean price of comparable flats."""
-    df = fill_chain(stage(with_ranges(stage(with_time_and_price(df)))))
+    df = fill_chain(with_ranges(stage(with_time_and_price(df))))
     return features.fair_value(df, "price_per_m2", ["locality_name", "rooms", *[f"{c}_range" for c in RANGES]], "fair_price_m2")
 
 

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.numbers import missing, np_round
 from tidewater.operators.ranges import nearest_group
-from tidewater.operators.stats import exact_quantiles, quantile_value
-from tidewater.operators.windows import with_group_value
+from tidewater.operators.stats import exact_quantiles, quantile_numbers
 from tidewater.staging import stage
 
 
@@ -59,19 +58,18 @@ def fill_by_type(df: DataFrame, text: str = "", number: float = 0) -> DataFrame:
 def fill_stats(df: DataFrame, stats: Mapping[str, str], scale: int | None = None) -> DataFrame:
     """Fill each column with its mean, median, min or max.
 
-    All means and extremes come from one aggregation over the rows as they were.
+    All means and extremes come from one aggregation over the rows as they were. The values become
+    literals: later steps then see the same bits wherever the plan is evaluated again.
     """
     simple = {"mean": F.avg, "min": F.min, "max": F.max}
-    plain = {c: s for c, s in stats.items() if s != "median"}
-    values = {}
-    if plain:
-        one = df.agg(F.struct(*[simple[s](missing(F.col(c))).alias(c) for c, s in plain.items()])).scalar()
-        values = {c: one[c] for c in plain}
-    for c in stats.keys() - plain.keys():
-        values[c] = exact_quantiles(df, c, {"q": 0.5}).scalar()
+    plain = [simple[s](missing(F.col(c))).alias(c) for c, s in stats.items() if s != "median"]
+    values = df.agg(*plain).first().asDict() if plain else {}
+    for c, s in stats.items():
+        if s == "median":
+            values[c] = quantile_numbers(df, c, {"q": 0.5})["q"]
     def filled(c: str) -> Column:
-        value = np_round(values[c], scale) if scale is not None else values[c]
-        return F.coalesce(missing(F.col(c)), value)
+        value = F.lit(values[c]).cast("double")
+        return F.coalesce(missing(F.col(c)), np_round(value, scale) if scale is not None else value)
     return df.select(*[filled(c).alias(c) if c in values else F.col(c) for c in df.columns])
 
 
@@ -89,20 +87,27 @@ def fill_group_mean(df: DataFrame, col: str, keys: Sequence[str], key_expr: Mapp
     take the whole-column mean, or the mean of `global_value` where that is given (a column as it
     was before a repair). `half_even_int` rounds both means to whole numbers.
     """
-    before = df.columns
     v = missing(F.col(col))
     exprs = key_expr or {}
-    work = df.select("*", v.alias("_v"), *[exprs.get(k, F.col(k)).alias(f"_k_{k}") for k in keys])
-    work = with_group_value(work, [f"_k_{k}" for k in keys], _m=F.avg("_v"))
+    key_cols = {f"_k_{k}": exprs.get(k, F.col(k)) for k in keys}
     keyed = F.lit(True)
-    for k in keys:
-        keyed = keyed & F.col(f"_k_{k}").isNotNull()
+    for c in key_cols.values():
+        keyed = keyed & c.isNotNull()
     places = 0 if half_even_int else scale
-    mean = F.when(keyed, F.col("_m") if places is None else np_round(F.col("_m"), places))
+    mean = F.avg(v) if places is None else np_round(F.avg(v), places)
+    means = df.filter(keyed & v.isNotNull()).groupBy(*[c.alias(n) for n, c in key_cols.items()]).agg(mean.alias("_m"))
+    # Only the rows with a gap meet the group means; the others are passed on without a shuffle.
+    gaps = df.filter(v.isNull())
+    on = None
+    for n, c in key_cols.items():
+        on = c == F.col(n) if on is None else on & (c == F.col(n))
+    value = F.col("_m")
     if global_mean:
         overall = df.agg(F.avg(v if global_value is None else missing(global_value))).scalar()
-        mean = F.coalesce(mean, np_round(overall) if half_even_int else overall)
-    return work.withColumn(col, F.coalesce(F.col("_v"), mean)).select(*before)
+        value = F.coalesce(value, np_round(overall) if half_even_int else overall)
+    filled = gaps.join(means, on, "left").select(*[value.alias(c) if c == col else F.col(c) for c in df.columns])
+    whole = df.filter(v.isNotNull()).select(*[v.alias(c) if c == col else F.col(c) for c in df.columns])
+    return whole.unionByName(filled)
 
 
 def fill_chain(df: DataFrame, steps: Sequence[tuple[str, Sequence[str]]], scale: int = 2) -> DataFrame:
@@ -124,7 +129,7 @@ def fill_ratio(df: DataFrame, target: str, whole: str, part: str, legacy: bool =
     """
     rest = F.col(whole) - F.col(part)
     ratio = df.select(F.try_divide(F.col(target), rest).alias("r"))
-    m = exact_quantiles(ratio, "r", {"q": 0.5}).scalar()
+    m = F.lit(quantile_numbers(ratio, "r", {"q": 0.5})["q"]).cast("double")
     m = m if places is None else np_round(m, places)
     value = F.col(whole) - F.col(part) * m if legacy else rest * m
     return df.withColumn(target, F.coalesce(missing(F.col(target)), value))
@@ -152,13 +157,13 @@ def fill_nearest_group(df: DataFrame, key: str, target: str, value: str, signed:
 
 def trim_quantile(df: DataFrame, col: str, q: float) -> DataFrame:
     """Keep rows at or below the quantile; the threshold is one number, so it reaches the scan. Nulls go."""
-    limit = quantile_value(df, col, q)
+    limit = quantile_numbers(df, col, {"q": q})["q"]
     return df.filter(F.col(col) <= F.lit(limit))
 
 
 def iqr_bounds(df: DataFrame, col: str, k: float = 1.5) -> tuple[float, float]:
-    row = exact_quantiles(df, col, {"a": 0.25, "b": 0.75}).first()
-    if row is None or row["a"] is None:
+    row = quantile_numbers(df, col, {"a": 0.25, "b": 0.75})
+    if row["a"] is None:
         return float("-inf"), float("inf")
     spread = row["b"] - row["a"]
     return row["a"] - k * spread, row["b"] + k * spread

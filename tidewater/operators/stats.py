@@ -47,29 +47,44 @@ def exact_quantiles(df: DataFrame, col: str, qs: Mapping[str, float], by: Sequen
     gap = reduce(lambda a, b: a + b, [(F.col("_v") > edge(i, 1)).cast("int") for i in range(len(names))])
     cells = tagged.groupBy(*keys, gap.alias("_gap"), F.when(inside, F.col("_v")).alias("_in")).agg(
         F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_rep"), F.max("_v").alias("_top"), F.first("_n").alias("_n"))
+    return _pick(cells, qs, keys)
+
+
+def _pick(cells: DataFrame, qs: Mapping[str, float], keys: Sequence[str]) -> DataFrame:
+    """Quantiles from ordered cells: `_c` rows between `_rep` and `_top`, of `_n` in the group."""
     w = Window.partitionBy(*keys).orderBy("_rep").rowsBetween(Window.unboundedPreceding, 0)
     ranked = cells.withColumn("_cum", F.sum("_c").over(w))
-    out = []
-    for n in names:
-        pos = F.col("_n").cast("double").__sub__(1.0) * qs[n]
-        k = F.floor(pos).cast("long")
+    first, last = F.col("_cum") - F.col("_c"), F.col("_cum") - 1
 
-        def at(rank: Column) -> Column:
-            # In a small group a bracket can miss the wanted rank by one; then it is the end of the
-            # neighbouring cell, whose smallest and largest value are known.
-            first, last = F.col("_cum") - F.col("_c"), F.col("_cum") - 1
-            return F.max(F.when(rank == last, F.col("_top")).when((rank >= first) & (rank < last), F.col("_rep")))
+    def at(rank: Column) -> Column:
+        # In a small group a bracket can miss the wanted rank by one; then it is the end of the
+        # neighbouring cell, whose smallest and largest value are known.
+        return F.max(F.when(rank == last, F.col("_top")).when((rank >= first) & (rank < last), F.col("_rep")))
 
+    out = []
+    for name, q in qs.items():
+        pos = (F.col("_n").cast("double") - 1.0) * q
+        k = F.floor(pos).cast("long")
         low, high = at(k), at(F.least(k + 1, F.col("_n") - 1))
-        frac = F.max(pos - k)
-        out.append((low + (high - low) * frac).alias(n))
-    result = ranked.groupBy(*keys).agg(*out)
-    return result.select(*keys, *list(qs))
+        out.append((low + (high - low) * F.max(pos - k)).alias(name))
+    return ranked.groupBy(*keys).agg(*out)
+
 
+def quantile_numbers(df: DataFrame, col: str, qs: Mapping[str, float], few: int = 1_000_000) -> dict[str, float | None]:
+    """Exact quantiles as numbers on the driver (thresholds).
 
-def quantile_value(df: DataFrame, col: str, q: float) -> float | None:
-    """One exact quantile as a number on the driver (a threshold)."""
-    return exact_quantiles(df, col, {"q": q}).first()["q"]
+    A column with few different values needs no brackets: its value counts are ordered directly.
+    """
+    src = df.select(missing(F.col(col)).alias("_v")).filter(F.col("_v").isNotNull())
+    size = src.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("_v").alias("d")).first()
+    if size["n"] == 0:
+        return dict.fromkeys(qs)
+    if size["d"] > few:
+        row = exact_quantiles(df, col, qs).first()
+    else:
+        cells = src.groupBy(F.col("_v").alias("_rep")).agg(F.count(F.lit(1)).alias("_c"))
+        row = _pick(cells.select("_rep", F.col("_rep").alias("_top"), "_c", F.lit(size["n"]).alias("_n")), qs, []).first()
+    return {n: row[n] for n in qs}
 
 
 def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:

@@ -7,6 +7,7 @@ each slice is scanned on its own, and one small row per slice carries the state
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -18,10 +19,23 @@ from tidewater.session import shared_dir
 SLICE, POS = "_slice", "_pos"
 
 
+def _written(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/staged-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared folder and return it with its lineage cut."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write `df` once to the shared folder and read it back, which cuts its lineage.
+
+    A parquet table rather than a checkpoint: later steps read only the columns they need, filters
+    with known thresholds skip row groups, and the join planner sees real sizes. The tables of one
+    application lie in one folder, so that they can be removed together after it has ended.
+    Rows that come from fewer files than there are cores are spread first.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return _written(df.repartition(cores) if len(df.inputFiles()) < cores else df)
 
 
 def slices_for(df: DataFrame, partitions: int | None = None) -> int:
@@ -36,7 +50,7 @@ def stage_sorted(df: DataFrame, order: Sequence[Column], partitions: int | None
     """
     ident = F.monotonically_increasing_id()
     ranged = df.repartitionByRange(slices_for(df, partitions), *order).sortWithinPartitions(*order)
-    return stage(
+    return _written(
         ranged.withColumn("_mid", ident)
         .withColumn(SLICE, F.shiftright("_mid", 33).cast("int"))
         .withColumn(POS, F.col("_mid").bitwiseAND((1 << 33) - 1))
