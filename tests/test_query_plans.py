@@ -13,6 +13,7 @@ PLANNED = [n for n in sorted(registry.queries()) if n.startswith(("q0", "q1", "q
 
 
 def plan_of(df) -> str:
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "2000")
     modes = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode
     return df._jdf.queryExecution().explainString(modes.fromString("simple"))
 

@@ -14,6 +14,8 @@ def get_session(app: str = "tidewater", master: str | None = None, **conf: str)
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split hot keys even where that costs one more shuffle after the join.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
