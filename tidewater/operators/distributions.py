@@ -72,19 +72,24 @@ def count_by(df: DataFrame, x: str, hue: str) -> DataFrame:
 def density_grid(df: DataFrame, col: str, points: int, bandwidth: float, by: Sequence[str] = ()) -> DataFrame:
     """Gaussian kernel density on `points` equal steps between minimum and maximum.
 
-    Every grid point is one sum of a single map-side aggregation, so no row is copied.
+    Every grid point is one sum of a single map-side aggregation, so no row is copied. Where a
+    column repeats its values much, equal ones are merged first.
     """
     keys = list(by)
     v = missing(F.col(col))
-    s = df.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
-    src = df.select(*keys, v.alias("_v"), s.alias("_s")).filter(F.col("_v").isNotNull()).select(
-        *keys, "_v", "_s.lo", ((F.col("_s.hi") - F.col("_s.lo")) / (points - 1)).alias("_step"))
+    size = df.agg(F.count(v).alias("n"), F.approx_count_distinct(v).alias("d"), F.min(v).alias("lo"), F.max(v).alias("hi")).first()
+    low, step = size["lo"] or 0.0, ((size["hi"] or 0.0) - (size["lo"] or 0.0)) / (points - 1)
+    src = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
+    if size["d"] * 4 < size["n"]:
+        src = src.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    else:
+        src = src.withColumn("_c", F.lit(1).cast("long"))
     scale = bandwidth * math.sqrt(2 * math.pi)
     def at(i: int) -> Column:
-        u = (F.col("lo") + F.col("_step") * i - F.col("_v")) / bandwidth
-        return (F.avg(F.exp(u * u * -0.5)) / scale).alias("density")
+        u = (F.lit(low + step * i) - F.col("_v")) / bandwidth
+        return (F.sum(F.exp(u * u * -0.5) * F.col("_c")) / F.sum("_c") / scale).alias("density")
     grid = src.groupBy(*keys).agg(F.array(*[
-        F.struct(F.lit(i).cast("long").alias("point"), (F.max("lo") + F.max("_step") * i).alias("x"), at(i)) for i in range(points)]).alias("_g"))
+        F.struct(F.lit(i).cast("long").alias("point"), F.lit(low + step * i).alias("x"), at(i)) for i in range(points)]).alias("_g"))
     return grid.select(*keys, F.explode("_g").alias("_p")).select(*keys, "_p.*")
 
 

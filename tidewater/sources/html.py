@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.staging import spread
+
 # HTML elements without an end tag.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
@@ -121,7 +123,7 @@ def _each_page(pages: DataFrame, key: str, html: str, schema: str, cut, **spec)
             out = [(k, *row) for k, text in zip(pdf[key], pdf[html]) for row in cut(_parse(text, **spec))]
             yield pd.DataFrame(out, columns=names)
 
-    return pages.select(key, html).mapInPandas(run, f"{key} {kind}, {schema}")
+    return spread(pages.select(key, html)).mapInPandas(run, f"{key} {kind}, {schema}")
 
 
 def extract_titles(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -187,8 +189,10 @@ def first_number(body: DataFrame, key: str = "page_id") -> DataFrame:
 def top_rated(rows: DataFrame, name_at: int, rating_at: int, key: str = "page_id") -> DataFrame:
     """Rows with the best rating of their page (all ties), one per name and rating over all pages."""
     named = text_number_pairs(rows, name_at, rating_at)
-    best = named.groupBy(key).agg(F.max("number").alias("_best"))
-    return named.join(best, key).filter(F.col("number") == F.col("_best")).groupBy("name", "number").agg(
+    # The rows of one page fit in that page, so its best ones are taken as a list; pages are parsed once.
+    by_rating = named.groupBy(key, "number").agg(F.collect_set("name").alias("_names"))
+    best = by_rating.groupBy(key).agg(F.max_by(F.struct("number", "_names"), "number").alias("_b"))
+    return best.select(key, "_b.number", F.explode("_b._names").alias("name")).groupBy("name", "number").agg(
         F.min(key).alias("first_page"))
 
 

@@ -26,16 +26,20 @@ def _written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows that come from fewer files than there are cores over all cores; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write `df` once to the shared folder and read it back, which cuts its lineage.
 
     A parquet table rather than a checkpoint: later steps read only the columns they need, filters
     with known thresholds skip row groups, and the join planner sees real sizes. The tables of one
     application lie in one folder, so that they can be removed together after it has ended.
-    Rows that come from fewer files than there are cores are spread first.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return _written(df.repartition(cores) if len(df.inputFiles()) < cores else df)
+    return _written(spread(df))
 
 
 def slices_for(df: DataFrame, partitions: int | None = None) -> int:
