@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
@@ -21,7 +23,8 @@ from pyspark.sql import DataFrame
 from tidewater.llm.common import arrow_rows, parts
 
 #: Pre-tokens kept with their ids in each task.
-CACHE = 200_000
+CACHE = 500_000
+_RUN = re.compile(r"\s\s|^\s|\s$")
 
 
 def byte_characters() -> list[str]:
@@ -76,41 +79,53 @@ def model_bytes(pieces: list[bytes]) -> bytes:
     return b"".join(out) + _field(2, trainer) + _field(3, normaliser)
 
 
-class _Known(dict):
-    """Pre-token -> ids, filled as pre-tokens turn up; forgotten when it holds `most`."""
-
-    def __init__(self, make, most: int):
-        super().__init__()
-        self.make, self.most = make, most
-
-    def __missing__(self, token: str) -> list[int]:
-        found = self.make(token)
-        if len(token) <= 64:
-            if len(self) >= self.most:
-                self.clear()
-            self[token] = found
-        return found
-
-
 class Codec:
     """Encodes and decodes with one rank file. Pre-tokens that are pieces as a whole are one id, as in the rank library."""
 
     def __init__(self, ranks: str, pattern: str, cache: int = CACHE):
         self.pieces = read_ranks(ranks)
-        self.whole = {text: i for i, text in enumerate(self.pieces)}
+        self.whole = {text: [i] for i, text in enumerate(self.pieces)}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(self.pieces))
         self.split = regex.compile(pattern)
         self.chars = dict(enumerate(byte_characters()))
-        self.known = _Known(self.ids_of, cache)
+        self.chunks: dict[str, bytes] = {}
+        self.most = cache
+
+    def ids_of(self, tokens: list[str]) -> list[list[int]]:
+        """Ids of each pre-token; those that are no piece go through the model together."""
+        raw = [t.encode() for t in tokens]
+        found = [self.whole.get(r) for r in raw]
+        open_ = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(open_, self.model.encode([raw[i].decode("latin-1").translate(self.chars) for i in open_], num_threads=1)):
+            found[i] = ids
+        return found
 
-    def ids_of(self, token: str) -> list[int]:
-        """Ids of one pre-token."""
-        raw = token.encode("utf-8")
-        one = self.whole.get(raw)
-        return [one] if one is not None else self.model.encode(raw.decode("latin-1").translate(self.chars))
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as 32-bit numbers.
+
+        A blank between two characters that aren't white space always starts a pre-token, so a text is
+        cut there and a chunk's ids are remembered; where white space meets white space the whole text
+        is one chunk.
+        """
+        cut = [t.split(" ") if t and not _RUN.search(t) else [t] if t else [] for t in texts]
+        for chunks in cut:
+            chunks[1:] = [" " + c for c in chunks[1:]]
+        new = list({c for chunks in cut for c in chunks}.difference(self.chunks))
+        tokens = [self.split.findall(c) for c in new]
+        ids = iter(self.ids_of([t for found in tokens for t in found]))
+        fresh = {c: np.array([*chain.from_iterable(islice(ids, len(found)))], np.int32).tobytes() for c, found in zip(new, tokens)}
+        if len(self.chunks) + len(fresh) > self.most:
+            # Start again with what this part needs.
+            self.chunks = {c: self.chunks[c] for chunks in cut for c in chunks if c in self.chunks}
+        self.chunks.update(fresh)
+        out = [b"".join(map(self.chunks.__getitem__, chunks)) for chunks in cut]
+        for c in fresh:
+            if len(c) > 64:
+                del self.chunks[c]
+        return out
 
     def encode(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable(map(self.known.__getitem__, self.split.findall(text or ""))))
+        return np.frombuffer(self.encode_all([text])[0], np.int32).tolist()
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ids))
@@ -133,7 +148,10 @@ def encode_texts(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks, pattern)
         for part in parts(batches):
-            yield arrow_rows(schema, {"doc_id": part["doc_id"], "ids": [own.encode(t) for t in part["text"]]})
+            found = own.encode_all(part["text"])
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int64) // 4
+            ids = pa.ListArray.from_arrays(ends.astype(np.int32), np.frombuffer(b"".join(found), np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(part["doc_id"], pa.int64()), ids], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -148,10 +166,10 @@ def decode_ids(encoded: DataFrame, ranks: str, pattern: str, with_bytes: bool =
         decimal = [str(i) for i in range(len(own.pieces))]
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500).to_pydict()
+                part = batch.slice(start, 500)
                 out = {f.name: [] for f in schema}
-                for doc_id, ids in zip(part["doc_id"], part["ids"]):
-                    ids = ids or []
+                for doc_id, cell in zip(part.column(0).to_pylist(), part.column(1)):
+                    ids = cell.values.to_numpy().tolist() if cell.is_valid else []
                     decoded = own.decode(ids)
                     out["doc_id"].append(doc_id)
                     out["n_tokens"].append(len(ids))
