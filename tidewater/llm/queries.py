@@ -84,3 +84,66 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.nearest import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op4_quality_rules", r"""
+    WITH base AS (
+        SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text,
+               list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+        FROM documents),
+    tri AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, w FROM base WHERE len(w) >= 3),
+    keyed AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM tri),
+    twice AS (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS c FROM keyed),
+    rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice WHERE c > 1) GROUP BY r),
+    m AS (
+        SELECT doc_id, CASE WHEN regexp_matches(lower(lang), '^[a-z]{2}$') THEN lower(lang) ELSE 'other' END AS stratum,
+               len(w)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+               length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+               (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines
+        FROM base LEFT JOIN rep USING (r)),
+    v AS (
+        SELECT *, CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END AS symbols_per_word,
+               CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_line_share,
+               CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END AS repeat_share,
+               CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS word_chars_mean
+        FROM m),
+    grid AS (
+        SELECT 'symbols_per_word' AS rule, unnest([2.0, 1.5, 1.0, 0.75, 0.5, 0.35, 0.25, 0.15, 0.1])::DOUBLE AS cutoff
+        UNION ALL SELECT 'dup_line_share', unnest([0.9, 0.75, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1])::DOUBLE
+        UNION ALL SELECT 'repeat_share', unnest([0.9, 0.75, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1])::DOUBLE
+        UNION ALL SELECT 'word_chars_mean', unnest([40.0, 30.0, 20.0, 16.0, 13.0, 11.0])::DOUBLE),
+    truth AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
+    counted AS (
+        SELECT stratum, rule, cutoff, sum(good)::BIGINT AS n, sum((hit AND good = 1)::INT)::BIGINT AS k, sum((hit AND good = 0)::INT) AS caught
+        FROM (SELECT stratum, rule, cutoff, good,
+                     CASE rule WHEN 'symbols_per_word' THEN symbols_per_word WHEN 'dup_line_share' THEN dup_line_share
+                               WHEN 'repeat_share' THEN repeat_share ELSE word_chars_mean END >= cutoff AS hit
+              FROM v JOIN truth USING (doc_id) CROSS JOIN grid)
+        GROUP BY ALL),
+    tested AS (
+        SELECT *, CASE WHEN k > n * 0.01 THEN 1.0 ELSE
+                 list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))) END
+               > 0.05 / (4 * (SELECT count(DISTINCT stratum) FROM counted)) AS fails
+        FROM counted),
+    best AS (
+        SELECT stratum, rule, max_by(cutoff, (caught * 0.2 - k) * 1000000 + cutoff) AS cutoff
+        FROM tested t
+        WHERE NOT EXISTS (SELECT 1 FROM tested u WHERE u.stratum = t.stratum AND u.rule = t.rule AND u.cutoff >= t.cutoff AND u.fails)
+          AND caught * 0.2 - k > 0
+        GROUP BY ALL)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT EXISTS (
+               SELECT 1 FROM best b WHERE b.stratum = v.stratum AND
+                   CASE b.rule WHEN 'symbols_per_word' THEN symbols_per_word WHEN 'dup_line_share' THEN dup_line_share
+                               WHEN 'repeat_share' THEN repeat_share ELSE word_chars_mean END >= b.cutoff) AS kept
+    FROM v
+    """)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.quality_rules import judge
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return judge(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
