@@ -157,3 +157,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     found = score_toxicity(docs, labels, remainder_col(F.col("doc_id"), 3) != 1)
     return found.select("doc_id", (remainder_col(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query("op1_substring_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.substring_dedup import find_repeats
+
+    return find_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
