@@ -24,7 +24,7 @@ from tidewater.llm.common import arrow_rows, parts
 
 #: Pre-tokens kept with their ids in each task.
 CACHE = 500_000
-_RUN = re.compile(r"\s\s|^\s|\s$")
+_RUN = re.compile(r"\s\s")
 
 
 def byte_characters() -> list[str]:

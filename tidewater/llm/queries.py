@@ -164,3 +164,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.substring_dedup import find_repeats
 
     return find_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+#: Mail addresses and runs of nine or more digits, which the token-count query masks.
+PRIVATE = r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+|\d{9,}"
+
+
+@query("op6_token_counts")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every text before and after its mail addresses and long numbers are masked."""
+    from tidewater.llm.token_counts import count_edits, masking
+
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    return count_edits(table(spark, sf_dir, "documents"), masking(PRIVATE, "[private]"), ranks, pattern)
