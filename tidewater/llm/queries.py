@@ -177,3 +177,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     return count_edits(table(spark, sf_dir, "documents"), masking(PRIVATE, "[private]"), ranks, pattern)
+
+
+@query("op5_lm_scoring")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.lm_scoring import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
