@@ -23,35 +23,69 @@ from tidewater.llm.common import arrow_rows, parts, staged
 CAPACITY, END_ID = 2048, 1
 #: Rests per bucket, on average.
 BUCKET = 16_384
+MARKS = ".,;:!?"
 
 
-class WordIds(dict):
-    """Blank-separated chunk -> its ids as little-endian 32-bit bytes. No merge or pattern of the tokenizer crosses a blank."""
+class WordIds:
+    """Ids of blank-separated chunks as little-endian 32-bit bytes. No merge or pattern of the tokenizer crosses a blank.
 
-    def __init__(self, path: str, most: int = 400_000):
-        super().__init__()
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
-
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    A chunk of letters with marks behind is a pre-token of letters and one of marks, so the letters are
+    looked up alone (in lower case, which the tokenizer makes of them anyway). Unknown runs of letters
+    are encoded in one joined text, whose ids are told apart by the word-end marks of the vocabulary.
+    """
 
-    def learn(self, chunks: list[str]) -> None:
-        """Encode the new chunks of one part together."""
-        new = list({c for c in chunks if c not in self})
-        if new:
-            if len(self) + len(new) > self.most:
-                self.clear()
-                new = list(set(chunks))
-            self.update(zip(new, self._ids(new)))
+    def __init__(self, path: str, chunks: int = 400_000, stems: int = 600_000):
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.chunks: dict[bytes, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        self.most, self.most_stems = chunks, stems
+
+    def _alone(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _stems(self, new: list[str]) -> dict[str, bytes]:
+        found = {}
+        for at in range(0, len(new), 500):
+            some = new[at : at + 500]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some) and all(map(str.isalpha, some)):
+                found.update(zip(some, (p.tobytes() for p in np.split(ids, ends[:-1]))))
+            else:  # a letter whose lower case isn't one letter
+                found.update(zip(some, self._alone(some)))
+        return found
+
+    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
+        texts = [c.decode() for c in new]
+        stems = [t.rstrip(MARKS) for t in texts]
+        stems = [s.lower() if s.isascii() else s for s in stems]
+        wanted = {s for s in stems if s.isalpha()}
+        if len(self.stems) > self.most_stems:
+            self.stems = {}
+        self.stems.update(self._stems(list(wanted.difference(self.stems))))
+        tails = {t[len(s):] for s, t in zip(stems, texts) if s in wanted}
+        tail_ids = dict(zip(tails, self._alone(list(tails))))
+        others = list({t for s, t in zip(stems, texts) if s not in wanted})
+        other_ids = dict(zip(others, self._alone(others)))
+        return {c: self.stems[s] + tail_ids[t[len(s):]] if s in wanted else other_ids[t] for c, s, t in zip(new, stems, texts)}
+
+    def ids_of_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text."""
+        cut = [t.encode().split() if t else [] for t in texts]
+        found = [list(map(self.chunks.get, chunks)) for chunks in cut]
+        new = list({c for chunks, ids in zip(cut, found) if None in ids for c, i in zip(chunks, ids) if i is None})
+        fresh = self._learn(new)
+        out = [b"".join(fresh[c] if i is None else i for c, i in zip(chunks, ids)) if None in ids else b"".join(ids) for chunks, ids in zip(cut, found)]
+        if len(self.chunks) > self.most:
+            self.chunks = {}
+        self.chunks.update({c: ids for c, ids in fresh.items() if len(c) <= 64})
+        return out
 
     def ids_of(self, text: str | None) -> bytes:
-        chunks = split_blanks(text)
-        return b"".join(map(self.__getitem__, chunks))
-
-
-def split_blanks(text: str | None) -> list[str]:
-    return [w.decode() for w in text.encode().split()] if text else []
+        return self.ids_of_all([text])[0]
 
 
 _WORDS: dict[str, WordIds] = {}
@@ -71,11 +105,9 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
         known = _WORDS[tokenizer]
         end = np.array([end_id], "<u4").tobytes()
         for part in parts(batches):
-            texts = [split_blanks(t) for t in part["text"]]
-            known.learn([c for t in texts for c in t])
             out = {f.name: [] for f in schema}
-            for doc_id, chunks in zip(part["doc_id"], texts):
-                raw = b"".join(map(known.__getitem__, chunks)) + end
+            for doc_id, raw in zip(part["doc_id"], known.ids_of_all(part["text"])):
+                raw += end
                 for at in range(0, len(raw), 4 * capacity):
                     own = raw[at : at + 4 * capacity]
                     out["doc_id"].append(doc_id)
