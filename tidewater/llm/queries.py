@@ -184,3 +184,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.lm_scoring import score_documents
 
     return score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op8_jaccard_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.jaccard_join import link_documents
+
+    return link_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
