@@ -74,8 +74,8 @@ def remainder_col(doc_id, by: int):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % by
 
 
-def parts(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = PASS_BYTES) -> Iterator[dict[str, list]]:
-    """Columns as lists, in parts of about `most` characters of `text`: bounded memory whatever the row length."""
+def slices(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = PASS_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of about `most` bytes of `text`: bounded memory whatever the row length."""
     for batch in batches:
         rows = batch.num_rows
         lengths = [0 if v is None else v for v in pa.compute.binary_length(batch.column(batch.schema.get_field_index(text))).to_pylist()]
@@ -83,9 +83,14 @@ def parts(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = PAS
         for i in range(rows):
             size += lengths[i]
             if size >= most or i == rows - 1:
-                yield batch.slice(start, i + 1 - start).to_pydict()
+                yield batch.slice(start, i + 1 - start)
                 start, size = i + 1, 0
 
 
+def parts(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = PASS_BYTES) -> Iterator[dict[str, list]]:
+    """The same slices, as lists by column."""
+    return (part.to_pydict() for part in slices(batches, text, most))
+
+
 def arrow_rows(schema: pa.Schema, columns: dict[str, object]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)

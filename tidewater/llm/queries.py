@@ -154,7 +154,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.common import remainder_col
     from tidewater.llm.toxicity import score_toxicity
 
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     found = score_toxicity(docs, labels, remainder_col(F.col("doc_id"), 3) != 1)
     return found.select("doc_id", (remainder_col(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
 

@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewater.llm.common import arrow_rows, parts, words_of
+from tidewater.llm.common import slices, words_of
 
 WINDOW, STRIDE = 32, 16
 HIDDEN, WIDTH = 8, 8
@@ -301,20 +302,24 @@ def fitting_rows(docs: DataFrame, labels: DataFrame, usable: Column, toxic: int,
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, usable: Column, threshold: float = 0.7, toxic: int = FIT_TOXIC, clean: int = FIT_CLEAN
 ) -> DataFrame:
-    """(doc_id, score, predicted) of every row of `docs`; `usable` selects the label rows that may be learnt from.
+    """`docs` with score and predicted (columns of these names are replaced); `usable` selects the label rows that may be learnt from.
 
     Only the text enters a score. Null and empty texts get the score of an empty window. Repeated rows
     stay repeated and score alike. Without usable labels the scores come from an untrained network.
     """
     spark = docs.sparkSession
+    docs = docs.drop("score", "predicted")
     sample = fitting_rows(docs, labels, usable, toxic, clean)
     net = spark.sparkContext.broadcast(fit([plain(words_of(t, lower=True)) for t, _ in sample], [y for _, y in sample]))
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(net.value)
-        for part in parts(batches):
-            found = scorer.score([plain(words_of(t, lower=True)) for t in part["text"]])
-            yield arrow_rows(schema, {"doc_id": part["doc_id"], "score": found, "predicted": (found >= threshold).astype(np.int32)})
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, predicted int")
+        for part in slices(batches):
+            texts = part.column(part.schema.get_field_index("text")).to_pylist()
+            found = scorer.score([plain(words_of(t, lower=True)) for t in texts])
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array(found, pa.float64()), pa.array((found >= threshold).astype(np.int32))],
+                names=[*part.schema.names, "score", "predicted"])
+
+    kind = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    return docs.mapInArrow(run, kind)
