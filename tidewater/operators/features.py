@@ -28,7 +28,7 @@ def price_per_unit(price: Column, area: Column) -> Column:
 
 
 # The floor labels of the source data set.
-FLOOR_BOTH, FLOOR_FIRST, FLOOR_LAST, FLOOR_OTHER = "первый и последний", "первый", "последний", "другой"
+FLOOR_BOTH, FLOOR_FIRST, FLOOR_LAST, FLOOR_OTHER = "Первый и последний", "Первый", "Последний", "Другой"
 
 
 def floor_type(floor: Column, total: Column) -> Column:

@@ -88,7 +88,7 @@ def yearly_prices(priced: DataFrame) -> DataFrame:
 
 # How each column is trimmed in the three variants: an upper quantile, an IQR factor or an upper bound.
 PERCENTILE = {c: ("quantile", 0.99) for c in (
-    "images", "last_price", "total_area", "rooms", "ceiling_height", "floors_total", "living_area", "price_per_m2")}
+    "images", "last_price", "total_area", "rooms", "ceiling_height", "floors_total", "living_area")}
 IQR = {
     **{c: ("iqr", 1.5) for c in ("images", "total_area", "rooms", "ceiling_height", "living_area", "floor", "balcony", "kitchen_area", "days_on_sale")},
     **{c: ("quantile", 0.99) for c in ("last_price", "floors_total", "price_per_m2")},
@@ -96,9 +96,10 @@ IQR = {
 MIXED = {**IQR, "images": ("quantile", 0.99), "total_area": ("below", 350)}
 
 
-def clean(df: DataFrame, trims: Mapping[str, tuple[str, float]], skip_years: Sequence[int] = ()) -> DataFrame:
+def clean(df: DataFrame, trims: Mapping[str, tuple[str, float]], skip_years: Sequence[int] = (), flagged: bool = True) -> DataFrame:
     """Clean listings column by column; each threshold is taken from the rows the steps before have left.
 
+    `flagged=False` drops is_apartment instead of filling it (the variant by percentiles does).
     Thresholds and fill values are single numbers that become literals, so the plan stays flat and
     the filters reach the staged scan.
     """
@@ -124,7 +125,8 @@ def clean(df: DataFrame, trims: Mapping[str, tuple[str, float]], skip_years: Seq
     df = stage(df.withColumn("living_area", F.when(area == 15, 11.0).otherwise(F.col("living_area"))))
     df = trim(df, "living_area").withColumn("living_area", np_round(F.col("living_area"), 2))
     df = trim(df, "floor")
-    df = quality.fill_flag(df.fillna(0, ["balcony"]), "is_apartment").withColumn("balcony", F.col("balcony").cast("int"))
+    df = quality.fill_flag(df, "is_apartment") if flagged else df.drop("is_apartment")
+    df = df.fillna(0, ["balcony"]).withColumn("balcony", F.col("balcony").cast("int"))
     df = trim(df, "balcony")
     df = trim(stage(quality.fill_ratio(df, "kitchen_area", "total_area", "living_area", places=1)), "kitchen_area")
     df = df.fillna(0, ["days_on_sale"]).withColumn("days_on_sale", F.col("days_on_sale").cast("int"))

@@ -14,7 +14,15 @@ from tidewater.operators.windows import global_row_number
 
 
 def upsert(base: DataFrame, new: DataFrame, key: str, update_cols: Sequence[str]) -> DataFrame:
-    """Existing keys take `update_cols` from `new` and keep the rest; unknown keys are added."""
+    """Existing keys take `update_cols` from `new` and keep the rest; unknown keys are added.
+
+    Of several new rows with one key the largest counts, compared column by column in the order of
+    `base`, so a base row never becomes two. New rows without a key are all added.
+    """
+    rest = [c for c in new.columns if c != key]
+    order = [c for c in base.columns if c in rest]
+    keyed = new.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(*[F.col(c) for c in order + [c for c in rest if c not in order]])).alias("_row"))
+    new = keyed.select(key, "_row.*").select(*new.columns).unionByName(new.filter(F.col(key).isNull())) if rest else new.distinct()
     b, n = base.withColumn("_old", F.lit(True)).alias("b"), new.withColumn("_new", F.lit(True)).alias("n")
     both = b.join(n, F.col(f"b.{key}") == F.col(f"n.{key}"), "full")
     out = []
@@ -81,17 +89,14 @@ def snapshot(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").saveAsTable(table)
 
 
-def apply_rules(spark: SparkSession, matched: DataFrame, source, target, limit: int = 1000) -> list[tuple[str, str]]:
+def apply_rules(spark: SparkSession, matched: DataFrame, source, target) -> list[tuple[str, str]]:
     """Carry out 'Copy with data', 'Copy schema' or 'Skip' for each named data set.
 
-    `source(name)` and `target(name)` give paths. The list of names is checked to be short; every
-    copy is a Spark job. Names without a rule are skipped.
+    `source(name)` and `target(name)` give paths. The names come to the driver one part after the
+    other; every copy is a Spark job. Names without a rule are skipped.
     """
-    names = matched.select("name", "action").limit(limit + 1).collect()
-    if len(names) > limit:
-        raise ValueError(f"more than {limit} data sets: split the list")
     done = []
-    for row in names:
+    for row in matched.select("name", "action").toLocalIterator():
         action = row["action"] or "Skip"
         if action != "Skip":
             data = spark.read.parquet(source(row["name"]))

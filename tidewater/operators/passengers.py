@@ -14,6 +14,7 @@ SEX_CODES = {"male": 0, "female": 1}
 PORT_CODES = {"C": 0, "Q": 1, "S": 2}
 TITLES = ("Mr", "Mrs", "Miss", "Master", "Don", "Rev", "Dr", "Mme", "Ms", "Major", "Lady", "Sir", "Mlle", "Col", "Capt",
           "Countess", "Jonkheer", "Dona")
+# The columns of the feature vector.
 FEATURES = ("Pclass", "Sex", "Age", "SibSp", "Parch", "Fare", "Embarked", "title")
 
 
@@ -22,7 +23,7 @@ def prepare(df: DataFrame, with_survived: bool = True) -> DataFrame:
     df = stage(quality.fill_stat(df, "Fare", "mean"))
     df = stage(quality.fill_nearest_group(df, "PassengerId", "Embarked", "Fare"))
     keys = ["Pclass", *(["Survived"] if with_survived else []), "SibSp", "Parch", "Embarked"]
-    df = quality.fill_group_mean(df, "Age", keys, half_even_int=True).fillna("unknown", ["Cabin"])
+    df = quality.fill_group_mean(df, "Age", keys, half_even_int=True, overall_after=True).fillna("unknown", ["Cabin"])
     df = df.withColumn("title", title_of(F.col("Name")))
     coded = df.select(
         *[F.col(c) for c in df.columns if c not in ("Sex", "Embarked", "title")],

@@ -80,12 +80,13 @@ def fill_stat(df: DataFrame, col: str, stat: str, scale: int | None = None) -> D
 
 def fill_group_mean(df: DataFrame, col: str, keys: Sequence[str], key_expr: Mapping[str, Column] | None = None,
                     scale: int | None = 2, global_mean: bool = True, half_even_int: bool = False,
-                    global_value: Column | None = None) -> DataFrame:
+                    global_value: Column | None = None, overall_after: bool = False) -> DataFrame:
     """Fill with the mean of the row's group (rounded to `scale`), then with the mean of the whole column.
 
     `key_expr` replaces a key by an expression (such as a rounded area). Rows with a missing key
     take the whole-column mean, or the mean of `global_value` where that is given (a column as it
-    was before a repair). `half_even_int` rounds both means to whole numbers.
+    was before a repair). `overall_after` takes the whole-column mean after the group fill, so that
+    the group means count in it. `half_even_int` rounds both means to whole numbers.
     """
     v = missing(F.col(col))
     exprs = key_expr or {}
@@ -102,7 +103,13 @@ def fill_group_mean(df: DataFrame, col: str, keys: Sequence[str], key_expr: Mapp
     for n, c in key_cols.items():
         on = c == F.col(n) if on is None else on & (c == F.col(n))
     value = F.col("_m")
-    if global_mean:
+    if global_mean and overall_after:
+        # Sums and counts of the values and of the filled gaps make the mean; no column is filled for it.
+        had = df.agg(F.sum(v).alias("s"), F.count(v).alias("n"))
+        got = gaps.join(means, on, "left").agg(F.sum("_m").alias("s"), F.count("_m").alias("n"))
+        overall = had.unionByName(got).agg(F.try_divide(F.sum("s"), F.sum("n"))).scalar()
+        value = F.coalesce(value, np_round(overall) if half_even_int else overall)
+    elif global_mean:
         overall = df.agg(F.avg(v if global_value is None else missing(global_value))).scalar()
         value = F.coalesce(value, np_round(overall) if half_even_int else overall)
     filled = gaps.join(means, on, "left").select(*[value.alias(c) if c == col else F.col(c) for c in df.columns])

@@ -70,21 +70,14 @@ def _pick(cells: DataFrame, qs: Mapping[str, float], keys: Sequence[str]) -> Dat
     return ranked.groupBy(*keys).agg(*out)
 
 
-def quantile_numbers(df: DataFrame, col: str, qs: Mapping[str, float], few: int = 1_000_000) -> dict[str, float | None]:
-    """Exact quantiles as numbers on the driver (thresholds).
+def quantile_numbers(df: DataFrame, col: str, qs: Mapping[str, float]) -> dict[str, float | None]:
+    """Exact quantiles as numbers on the driver (thresholds): two passes, whatever the number of values.
 
-    A column with few different values needs no brackets: its value counts are ordered directly.
+    The first pass takes count, extremes and a sketch. The second counts the values below each bracket
+    and keeps the distinct ones inside, with their counts; only those are ordered.
     """
-    src = df.select(missing(F.col(col)).alias("_v")).filter(F.col("_v").isNotNull())
-    size = src.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("_v").alias("d")).first()
-    if size["n"] == 0:
-        return dict.fromkeys(qs)
-    if size["d"] > few:
-        row = exact_quantiles(df, col, qs).first()
-    else:
-        cells = src.groupBy(F.col("_v").alias("_rep")).agg(F.count(F.lit(1)).alias("_c"))
-        row = _pick(cells.select("_rep", F.col("_rep").alias("_top"), "_c", F.lit(size["n"]).alias("_n")), qs, []).first()
-    return {n: row[n] for n in qs}
+    row = exact_quantiles(df, col, qs).first()
+    return {n: row[n] if row is not None else None for n in qs}
 
 
 def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:

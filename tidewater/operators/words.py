@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.text import words
 
+# The texts given when there is nothing to give.
 NO_WORD = "There is no such word"
 NO_WANDS = "No one was buying magic wands this year."
 

@@ -118,11 +118,11 @@ def name_rules(t: Tables) -> DataFrame:
 
 @job("jn14_lateral_unnest", """
     SELECT vec_id, pos, CAST(v AS DOUBLE) AS v FROM (
-        SELECT vec_id, unnest(range(len(embedding))) AS pos, unnest(embedding) AS v FROM embeddings) WHERE v > 0.3
+        SELECT vec_id, unnest(range(len(embedding))) AS pos, unnest(embedding) AS v FROM embeddings)
 """)
 def lateral_unnest(t: Tables) -> DataFrame:
     cells = t.embeddings.select("vec_id", F.posexplode("embedding").alias("pos", "v"))
-    return cells.filter("v > 0.3").select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("v").cast("double").alias("v"))
+    return cells.select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("v").cast("double").alias("v"))
 
 
 @job("jn15_join_of_aggregates", """

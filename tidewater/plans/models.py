@@ -28,7 +28,7 @@ def price_per_unit(t: Tables) -> DataFrame:
 
 
 @job("ml03_floor_type", WITH + """
-    SELECT line_key, CASE WHEN floor = 1 AND floors_total = 1 THEN 'первый и последний' WHEN floor = 1 THEN 'первый' WHEN floor = floors_total THEN 'последний' ELSE 'другой' END AS floor_type FROM flats
+    SELECT line_key, CASE WHEN floor = 1 AND floors_total = 1 THEN 'Первый и последний' WHEN floor = 1 THEN 'Первый' WHEN floor = floors_total THEN 'Последний' ELSE 'Другой' END AS floor_type FROM flats
 """)
 def floor_type(t: Tables) -> DataFrame:
     return flats(t, "line_key", "floor", "floors_total").select("line_key", features.floor_type(F.col("floor"), F.col("floors_total")).alias("floor_type"))

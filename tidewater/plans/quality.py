@@ -152,12 +152,13 @@ def fill_nearest_signed(t: Tables) -> DataFrame:
 
 @job("dq15_fill_by_several_keys", WITH + """
     , g AS (SELECT rooms AS r, balcony AS b, floors_total AS f, locality_name AS l, avg(living_area) AS m FROM flats GROUP BY ALL)
-    SELECT line_key, coalesce(living_area, round_even(m, 0), round_even((SELECT avg(living_area) FROM flats), 0)) AS living_area
-    FROM flats LEFT JOIN g ON r = rooms AND b = balcony AND f = floors_total AND l = locality_name
+    , a AS (SELECT line_key, coalesce(living_area, round_even(m, 0)) AS living_area
+            FROM flats LEFT JOIN g ON r = rooms AND b = balcony AND f = floors_total AND l = locality_name)
+    SELECT line_key, coalesce(living_area, round_even((SELECT avg(living_area) FROM a), 0)) AS living_area FROM a
 """)
 def fill_by_several_keys(t: Tables) -> DataFrame:
     keys = ["rooms", "balcony", "floors_total", "locality_name"]
-    df = quality.fill_group_mean(flats(t, "line_key", "living_area", *keys), "living_area", keys, half_even_int=True)
+    df = quality.fill_group_mean(flats(t, "line_key", "living_area", *keys), "living_area", keys, half_even_int=True, overall_after=True)
     return df.select("line_key", "living_area")
 
 

@@ -78,10 +78,10 @@ def password_rule(t: Tables) -> DataFrame:
 
 
 @job("fn08_drop_punctuation_upper", r"""
-    SELECT doc_id, upper(translate(replace(text, 'ß', 'ss'), '!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~', '')) AS shout FROM documents WHERE lang = 'en'
+    SELECT doc_id, upper(translate(replace(text, 'ß', 'ss'), '!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~', '')) AS shout FROM documents
 """)
 def drop_punctuation(t: Tables) -> DataFrame:
-    return t.documents.filter("lang = 'en'").select("doc_id", text.shout(F.col("text")).alias("shout"))
+    return t.documents.select("doc_id", text.shout(F.col("text")).alias("shout"))
 
 
 _TITLED = "CASE c_custkey % 3 WHEN 0 THEN 'Kelly, Mr. ' || c_name WHEN 1 THEN 'Wilkes, Mrs. ' || c_name ELSE c_name END"
@@ -155,14 +155,16 @@ def lookup_with_default(t: Tables) -> DataFrame:
 
 
 @job("fn16_sentence_per_group", """
-    WITH e AS (SELECT DISTINCT n_name, CASE WHEN c_acctbal > 9800 THEN c_name || ' (material - ' || lower(c_mktsegment) || ')' END AS e FROM customer JOIN nation ON n_nationkey = c_nationkey)
-    SELECT n_name, coalesce('In 1997 the following people bought a wand: ' || string_agg(e, ', ' ORDER BY e) || '.', 'No one was buying magic wands this year.') AS sentence
-    FROM e GROUP BY n_name
+    WITH e AS (SELECT DISTINCT c_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ' (material - ' || lower(o_orderpriority) || ')' AS e
+               FROM customer LEFT JOIN orders ON o_custkey = c_custkey)
+    SELECT c_custkey, coalesce('In 1997 the following people bought a wand: ' || string_agg(e, ', ' ORDER BY e) || '.', 'No one was buying magic wands this year.') AS sentence
+    FROM e GROUP BY c_custkey
 """)
 def sentence_per_group(t: Tables) -> DataFrame:
-    both = t.customer.join(F.broadcast(t.nation), F.col("n_nationkey") == F.col("c_nationkey"))
-    name = F.when(F.col("c_acctbal") > 9800, F.col("c_name"))
-    return words.sentence_of(both, "n_name", name, F.lower("c_mktsegment"), "1997")
+    """One sentence a customer: a customer's orders are a line of bounded length."""
+    both = t.customer.select("c_custkey").join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left")
+    name = F.date_format(F.col("o_orderdate").cast("timestamp_ntz"), "yyyy-MM-dd")
+    return words.sentence_of(both, "c_custkey", name, F.lower("o_orderpriority"), "1997")
 
 
 @job("fn17_key_or_value_contains", "SELECT p_partkey, p_type || ': ' || p_name AS line FROM part WHERE contains(p_name, 'ON') OR contains(p_type, 'ON')")

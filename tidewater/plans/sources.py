@@ -22,6 +22,13 @@ from tidewater.streaming import filedrop, hourly
 from tidewater.tables import Tables
 
 
+def _own_files(t: Tables, name: str) -> str:
+    """A pattern that a stream can read a table by, whether it is one file or a folder of files."""
+    path = t.spark._jvm.org.apache.hadoop.fs.Path(f"{t.folder}/{name}.parquet")
+    fs = path.getFileSystem(t.spark._jsc.hadoopConfiguration())
+    return f"{t.folder}/{name}.parquet" if fs.getFileStatus(path).isDirectory() else f"{t.folder}/{name}.parquet*"
+
+
 def new_folder(t: Tables, name: str) -> str:
     return f"{shared_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -48,8 +55,8 @@ def without_header(t: Tables) -> DataFrame:
 @job("sr03_old_code_page", "SELECT c_custkey, concat('Клиент ', c_mktsegment) AS label FROM customer")
 def old_code_page(t: Tables) -> DataFrame:
     path = new_folder(t, "sr03")
-    t.spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    t.customer.select("c_custkey", F.concat(F.lit("Клиент "), "c_mktsegment").alias("label")).write.csv(path, header=True, encoding="windows-1251")
+    with files.java_charsets(t.spark):
+        t.customer.select("c_custkey", F.concat(F.lit("Клиент "), "c_mktsegment").alias("label")).write.csv(path, header=True, encoding="windows-1251")
     return files.read_delimited(t.spark, path, "c_custkey long, label string", encoding="windows-1251")
 
 
@@ -177,7 +184,7 @@ def monthly_flight_load(t: Tables) -> DataFrame:
     FROM events GROUP BY 1
 """)
 def hourly_stream(t: Tables) -> DataFrame:
-    stream = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
+    stream = t.spark.readStream.schema(t.events.schema).parquet(_own_files(t, "events"))
     windows = hourly.hourly_counts(stream, "ts", F.col("event_type") == "error")
     hours = hourly.run_to_folder(windows, new_folder(t, "ss01-out"), new_folder(t, "ss01-checkpoint"))
     done = hourly.with_running_totals(hours)

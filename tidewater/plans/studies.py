@@ -73,7 +73,7 @@ def fair_price_per_flat(t: Tables) -> DataFrame:
 _SKIP = (1995, 2001)
 
 
-def _clean_sql(trims: dict) -> str:
+def _clean_sql(trims: dict, skip: tuple[int, ...] = _SKIP, flagged: bool = True) -> str:
     """The cleaning steps as a chain of common tables."""
     steps: list[str] = []
     last = ["flats"]
@@ -111,7 +111,7 @@ def _clean_sql(trims: dict) -> str:
     trim("living_area")
     add(f"* REPLACE ({_round2('living_area')} AS living_area)")
     trim("floor")
-    add("* REPLACE (coalesce(balcony, 0) AS balcony, coalesce(is_apartment, false) AS is_apartment)")
+    add("* REPLACE (coalesce(balcony, 0) AS balcony, coalesce(is_apartment, false) AS is_apartment)" if flagged else "* EXCLUDE (is_apartment) REPLACE (coalesce(balcony, 0) AS balcony)")
     trim("balcony")
     p = last[0]
     m = f"(SELECT round_even(median(kitchen_area / nullif(total_area - living_area, 0)) * 10, 0) / 10 FROM {p})"
@@ -122,25 +122,26 @@ def _clean_sql(trims: dict) -> str:
     add(f"""* REPLACE (replace(replace(locality_name, 'посёлок городского типа', 'поселок'), 'посёлок', 'поселок') AS locality_name,
             CASE WHEN park_distance IS NULL AND parks_around = 0 THEN 3100 ELSE park_distance END AS park_distance),
             year(first_day) AS year, month(first_day) AS month, isodow(first_day) - 1 AS weekday, {_round2('last_price / nullif(total_area, 0)')} AS price_per_m2,
-            CASE WHEN floor = 1 AND floors_total = 1 THEN 'первый и последний' WHEN floor = 1 THEN 'первый' WHEN floor = floors_total THEN 'последний' ELSE 'другой' END AS floor_type""")
-    add("*", f"WHERE year NOT IN {_SKIP}")
+            CASE WHEN floor = 1 AND floors_total = 1 THEN 'Первый и последний' WHEN floor = 1 THEN 'Первый' WHEN floor = floors_total THEN 'Последний' ELSE 'Другой' END AS floor_type""")
+    if skip:
+        add("*", f"WHERE year NOT IN {skip}")
     trim("price_per_m2")
     return f"""WITH {SQL}, {', '.join(steps)}
         SELECT line_key, last_price, CAST(rooms AS INTEGER) AS rooms, round(ceiling_height, 6) AS ceiling_height, CAST(floors_total AS INTEGER) AS floors_total, living_area,
-               round(kitchen_area, 5) AS kitchen_area, CAST(balcony AS INTEGER) AS balcony, is_apartment, CAST(days_on_sale AS INTEGER) AS days_on_sale, locality_name,
+               round(kitchen_area, 5) AS kitchen_area, CAST(balcony AS INTEGER) AS balcony, {"is_apartment, " if flagged else ""}CAST(days_on_sale AS INTEGER) AS days_on_sale, locality_name,
                park_distance, CAST(month AS INTEGER) AS month, CAST(weekday AS INTEGER) AS weekday, price_per_m2, floor_type FROM {last[0]}"""
 
 
-def _cleaned(t: Tables, trims: dict) -> DataFrame:
-    got = listings.clean(flats(t), trims, _SKIP)
+def _cleaned(t: Tables, trims: dict, skip: tuple[int, ...] = _SKIP, flagged: bool = True) -> DataFrame:
+    got = listings.clean(flats(t), trims, skip, flagged)
     return got.select("line_key", "last_price", F.col("rooms").cast("int").alias("rooms"), F.round("ceiling_height", 6).alias("ceiling_height"), "floors_total", "living_area",
-                      F.round("kitchen_area", 5).alias("kitchen_area"), "balcony", "is_apartment", "days_on_sale", "locality_name", "park_distance", "month", "weekday",
+                      F.round("kitchen_area", 5).alias("kitchen_area"), "balcony", *(["is_apartment"] if flagged else []), "days_on_sale", "locality_name", "park_distance", "month", "weekday",
                       "price_per_m2", "floor_type")
 
 
-@job("q31_cleaning_by_percentiles", _clean_sql(listings.PERCENTILE))
+@job("q31_cleaning_by_percentiles", _clean_sql(listings.PERCENTILE, (), False))
 def cleaning_percentiles(t: Tables) -> DataFrame:
-    return _cleaned(t, listings.PERCENTILE)
+    return _cleaned(t, listings.PERCENTILE, (), False)
 
 
 @job("q31_cleaning_by_iqr", _clean_sql(listings.IQR))
@@ -209,8 +210,8 @@ _TITANIC = f"""
     f AS MATERIALIZED (SELECT * REPLACE (coalesce(Fare, avg(Fare) OVER ()) AS Fare) FROM p),
     m AS MATERIALIZED (SELECT Embarked AS port, avg(Fare) AS c FROM f WHERE Embarked IS NOT NULL GROUP BY 1),
     e AS MATERIALIZED (SELECT * REPLACE (coalesce(Embarked, (SELECT port FROM m ORDER BY abs(Fare - c), port LIMIT 1)) AS Embarked) FROM f),
-    a AS MATERIALIZED (SELECT * REPLACE (coalesce(Age, round_even(avg(Age) OVER (PARTITION BY Pclass, Survived, SibSp, Parch, Embarked), 0), round_even(avg(Age) OVER (), 0)) AS Age,
-                               coalesce(Cabin, 'unknown') AS Cabin) FROM e),
+    g AS MATERIALIZED (SELECT * REPLACE (coalesce(Age, round_even(avg(Age) OVER (PARTITION BY Pclass, Survived, SibSp, Parch, Embarked), 0)) AS Age) FROM e),
+    a AS MATERIALIZED (SELECT * REPLACE (coalesce(Age, round_even(avg(Age) OVER (), 0)) AS Age, coalesce(Cabin, 'unknown') AS Cabin) FROM g),
     x AS MATERIALIZED (SELECT PassengerId, Survived, Age, Fare, Cabin, CASE Sex WHEN 'male' THEN 0 WHEN 'female' THEN 1 ELSE -1 END AS Sex, CASE Embarked WHEN 'C' THEN 0 WHEN 'Q' THEN 1 WHEN 'S' THEN 2 ELSE -1 END AS Embarked,
                CASE regexp_extract(Name, ' ([A-Za-z]+)\\.', 1) WHEN 'Mr' THEN 0 WHEN 'Mrs' THEN 1 WHEN 'Miss' THEN 2 ELSE -1 END AS title, Pclass, SibSp, Parch FROM a)
 """

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextlib
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,18 @@ from pyspark.sql import types as T
 from tidewater.functions.text import decimal_comma
 
 
+@contextlib.contextmanager
+def java_charsets(spark: SparkSession) -> Iterator[None]:
+    """Lets writers use any charset inside the block; the session's setting comes back afterwards."""
+    key = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def _struct(schema: str | T.StructType) -> T.StructType:
     return T._parse_datatype_string(schema) if isinstance(schema, str) else schema
 
@@ -20,16 +33,20 @@ def read_delimited(spark: SparkSession, path: str, schema, sep: str = ",", heade
     """Delimited text with a given schema; NaN becomes NULL.
 
     With `decimal=','` fractional columns are read as text and converted, unreadable cells to NULL.
-    Encodings outside the Unicode family (cp1251, cp437) need `spark.sql.legacy.javaCharsets`, which
-    is set for the read.
+    One-byte code pages (cp1251, cp437) are read byte by byte and mapped to their characters, so no
+    session setting is touched.
     """
     wanted = _struct(schema)
     numbers = [f.name for f in wanted if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     raw = T.StructType([
         T.StructField(f.name, T.StringType() if decimal == "," and f.name in numbers else f.dataType) for f in wanted])
-    if encoding.upper() not in ("UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"):
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    df = spark.read.schema(raw).csv(path, sep=sep, header=header, quote='"', encoding=encoding)
+    mapped = encoding.upper() not in ("UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32")
+    df = spark.read.schema(raw).csv(path, sep=sep, header=header, quote='"', encoding="ISO-8859-1" if mapped else encoding)
+    if mapped:
+        old = bytes(range(128, 256))
+        new = "".join(old[i : i + 1].decode(encoding, "replace") for i in range(128))
+        df = df.select(*[
+            (F.translate(f"`{f.name}`", old.decode("latin-1"), new) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")).alias(f.name) for f in raw])
     exprs = []
     for f in wanted:
         c = F.col(f"`{f.name}`")

@@ -14,6 +14,12 @@ def hourly_counts(stream: DataFrame, ts: str, cancelled: Column, watermark: str
     ).select(F.col("w.start").alias("from_ts"), F.col("w.end").alias("to_ts"), "cnt", "cancelled_cnt")
 
 
+def _exists(spark, folder: str) -> bool:
+    """Whether a stream has written anything there: without input no batch ran."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def run_to_folder(windows: DataFrame, folder: str, checkpoint: str) -> DataFrame:
     """Drive a windowed stream over all input that is there, and return the latest state of each window.
 
@@ -29,6 +35,8 @@ def run_to_folder(windows: DataFrame, folder: str, checkpoint: str) -> DataFrame
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
     schema = windows.schema
+    if not _exists(spark, folder):
+        return spark.createDataFrame([], schema)
     rows = spark.read.schema(schema.add("batch", "long")).parquet(folder)
     rest = [f.name for f in windows.schema if f.name not in ("from_ts", "to_ts", "batch")]
     return rows.groupBy("from_ts", "to_ts").agg(F.max_by(F.struct(*rest), "batch").alias("s")).select("from_ts", "to_ts", "s.*")
