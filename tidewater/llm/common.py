@@ -29,6 +29,11 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame):
+    """All columns as one struct, so that an operator's own columns can't clash with theirs."""
+    return F.struct(*[df[f"`{c}`"] for c in df.columns])
+
+
 def words_of(text: str | None, lower: bool = False) -> list[bytes]:
     """UTF-8 words `[^\\x20\\x09-\\x0D]+`; bytes.split() splits at exactly these six bytes. `lower` maps A-Z only."""
     if not text:

@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import staged
+from tidewater.llm.common import staged, whole_row
 
 BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -82,26 +82,26 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     A null text counts as empty: all zero. What is used more than once is a column of its own behind
     a one-row explode, so that the optimiser doesn't repeat it.
     """
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     once = lambda c: F.explode(F.array(c))
-    w = F.col("_m.w")
-    held = docs.select("*", once(F.struct(
+    body, w = F.col("body"), F.col("m.w")
+    held = docs.select(whole_row(docs).alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body"))
+    held = held.select("row", "body", once(F.struct(
         words(body).alias("w"),
         F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-    )).alias("_m"))
-    held = held.select("*", once(_suspects(w)).alias("_p"))
+    )).alias("m"))
+    held = held.select("*", once(_suspects(w)).alias("packed"))
     held = held.select("*", once(F.sort_array(F.transform(
-        _suspect_places(F.col("_p")),
+        _suspect_places(F.col("packed")),
         lambda i: F.struct(F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("s"), i.alias("i")),
-    ))).alias("_r"))
+    ))).alias("ranked"))
     return held.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        *[F.col("row")[c].alias(c) for c in docs.columns],
         F.size(w).cast("long").alias("n_words"),
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         _symbols(body).cast("long").alias("n_symbols"),
-        (F.size("_m.lines") - F.size(F.array_distinct("_m.lines"))).cast("long").alias("n_dup_lines"),
-        _covered(F.col("_r")).cast("long").alias("n_repeat_words"),
-        F.size("_m.lines").cast("long").alias("n_lines"),
+        (F.size("m.lines") - F.size(F.array_distinct("m.lines"))).cast("long").alias("n_dup_lines"),
+        _covered(F.col("ranked")).cast("long").alias("n_repeat_words"),
+        F.size("m.lines").cast("long").alias("n_lines"),
     )
 
 
@@ -178,7 +178,8 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float =
     """
     own = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "base_failed", "kept")
     columns = [c for c in docs.columns if c not in own]
-    measured = staged(measures(docs.select(*[F.col(f"`{c}`") for c in columns])))
+    rows = docs.select(*[F.col(f"`{c}`") for c in columns])
+    measured = staged(measures(rows.select(whole_row(rows).alias("row"), "doc_id", "lang", "text")).drop("text"))
     best = cutoffs(measured.select("doc_id", "lang", *own[:6]), labels, risk, level)
     wide = best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == name, F.col("cutoff"))).alias(f"_c_{name}") for name in GRID])
     hit = F.lit(False)
@@ -187,5 +188,5 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float =
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
         measured.withColumn("stratum", stratum(F.col("lang"))).join(F.broadcast(wide), "stratum", "left")  # one row per stratum
-        .select(*[F.col(f"`{c}`") for c in columns], *own[:6], failed.alias("base_failed"), (~failed & ~hit).alias("kept"))
+        .select(*[F.col("row")[c].alias(c) for c in columns], *own[:6], failed.alias("base_failed"), (~failed & ~hit).alias("kept"))
     )

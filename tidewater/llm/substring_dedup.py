@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import WordHashes, arrow_rows, mixed, parts, sha, staged, words_of
+from tidewater.llm.common import WordHashes, arrow_rows, mixed, parts, sha, staged, whole_row, words_of
 
 WORDS, ROUNDS = 50, 3
 #: Ids are compared as numbers; a document without an id comes after all others.
@@ -251,8 +251,12 @@ def remove_repeats(docs: DataFrame, n: int = WORDS) -> DataFrame:
 
     Texts that lose nothing stay as they are; of the others the kept words are joined by one blank.
     """
-    found = find_repeats(docs.select("doc_id", "text"), n).filter("kept is not null").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("kept").alias("_kept")).dropDuplicates(["_id", "_key"])
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left")
-    text = F.coalesce("_kept", "text")
+    found = (
+        find_repeats(docs.select("doc_id", "text"), n).filter("kept is not null")
+        .select(F.col("doc_id").alias("id"), "text_key", "kept").dropDuplicates(["id", "text_key"])
+    )
+    rows = docs.select(whole_row(docs).alias("row"), "doc_id", F.xxhash64("text").alias("key"))
+    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("text_key")), "left")
+    text = F.coalesce("kept", "row.text")
     new = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return joined.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    return joined.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import whole_row
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Group 1 is the host, group 2 the path.
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -79,8 +81,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
         .groupBy("host", "path").agg(F.max_by(F.struct("rule", "action"), order).alias("best"))
     )
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    judged = pages.select(*[F.col(f"`{c}`") for c in kept], host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    rows = pages.select(*[F.col(f"`{c}`") for c in kept])
+    judged = pages.select(whole_row(rows).alias("row"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     return judged.join(best, ["host", "path"], "left").select(
-        *[F.col(f"`{c}`") for c in kept], "host", "path", F.col("best.rule").alias("rule"),
+        *[F.col("row")[c].alias(c) for c in kept], "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.action", F.lit(default)).alias("verdict"),
     )
