@@ -83,12 +83,10 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     a one-row explode, so that the optimiser doesn't repeat it.
     """
     once = lambda c: F.explode(F.array(c))
-    body, w = F.col("body"), F.col("m.w")
+    body, w = F.col("body"), F.col("w")
     held = docs.select(whole_row(docs).alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body"))
-    held = held.select("row", "body", once(F.struct(
-        words(body).alias("w"),
-        F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-    )).alias("m"))
+    held = held.select("*", once(words(body)).alias("w"))
+    held = held.select("*", once(F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))).alias("lines"))
     held = held.select("*", once(_suspects(w)).alias("packed"))
     held = held.select("*", once(F.sort_array(F.transform(
         _suspect_places(F.col("packed")),
@@ -99,9 +97,9 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size(w).cast("long").alias("n_words"),
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         _symbols(body).cast("long").alias("n_symbols"),
-        (F.size("m.lines") - F.size(F.array_distinct("m.lines"))).cast("long").alias("n_dup_lines"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _covered(F.col("ranked")).cast("long").alias("n_repeat_words"),
-        F.size("m.lines").cast("long").alias("n_lines"),
+        F.size("lines").cast("long").alias("n_lines"),
     )
 
 
