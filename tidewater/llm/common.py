@@ -29,6 +29,16 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows up to which a written table may be broadcast; beyond that its join shuffles.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, weight=None, most: int = BROADCAST_ROWS) -> DataFrame:
+    """`df`, to be broadcast if it has at most `most` rows (or elements, counted by the column `weight`); it should be staged."""
+    size = df.agg(F.coalesce(F.sum(weight), F.lit(0)) if weight is not None else F.count(F.lit(1))).head()[0]
+    return F.broadcast(df) if size <= most else df
+
+
 def whole_row(df: DataFrame):
     """All columns as one struct, so that an operator's own columns can't clash with theirs."""
     return F.struct(*[df[f"`{c}`"] for c in df.columns])

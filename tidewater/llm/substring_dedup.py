@@ -5,8 +5,8 @@ alphabet is halved into left and right symbols and every pair of a left symbol b
 becomes one symbol. A new symbol's name is a 64-bit hash of what it stands for, so every task gives
 equal content the same name and no table of names has to be shared. Equal word sequences get equal
 symbols except near their ends; how near is tracked exactly: every symbol carries the span of words
-that its name and borders depend on. Each window of `n` words is therefore represented by the longest
-symbol (of equal ones, that with the least name) of the highest round that has symbols whose span lies
+that its name and borders depend on. Each window of `n` words is therefore represented, with all words of
+its span, by the longest symbol (of equal ones, that with the least name) of the highest round that has symbols whose span lies
 inside the window, and two equal windows always have the same representative. Only windows whose representative turns up in two documents are
 compared, by a 128-bit hash of their words.
 """
@@ -21,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import WordHashes, arrow_rows, mixed, parts, sha, staged, whole_row, words_of
+from tidewater.llm.common import BROADCAST_ROWS, WordHashes, arrow_rows, broadcast_if_small, mixed, parts, sha, staged, whole_row, words_of
 
 WORDS, ROUNDS = 50, 3
 #: Ids are compared as numbers; a document without an id comes after all others.
 _LAST = (1 << 63) - 1
 _NOTHING = sha([])
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_FACTOR), -1, 1 << 64))
 
 
 def recompress(name: np.ndarray, fixed: np.ndarray, low: np.ndarray, high: np.ndarray, start: np.ndarray, level: int):
@@ -82,6 +84,9 @@ def anchors(hashes: list[np.ndarray], n: int = WORDS, rounds: int = ROUNDS) -> t
     place = np.arange(len(doc)) - np.repeat(np.cumsum(windows) - windows, windows)
     p = place + base[doc]
     named = np.zeros(len(p), np.uint64)
+    # A symbol is told by its name and by all words of its span; sums of word hashes times powers give any span's hash.
+    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(name * np.cumprod(np.full(total, _FACTOR)))])
+    back = np.cumprod(np.append(np.ones(1, np.uint64), np.full(total, _INVERSE)))
     for level in range(rounds + 1):
         if level:
             name, fixed, low, high, start = recompress(name, fixed, low, high, start, level)
@@ -90,7 +95,8 @@ def anchors(hashes: list[np.ndarray], n: int = WORDS, rounds: int = ROUNDS) -> t
         if not len(found):
             break
         words = np.minimum(np.diff(np.append(start, total)), 31).astype(np.uint64)
-        rank = ((np.uint64(31) - words) << np.uint64(58)) | (mixed(name + np.uint64(level)) >> np.uint64(6))
+        span = (upto[high] - upto[low]) * back[low]
+        rank = ((np.uint64(31) - words) << np.uint64(58)) | (mixed(mixed(name + np.uint64(level)) ^ span) >> np.uint64(6))
         named[found] = _least(rank, first[found], end[found])
     new = np.flatnonzero(np.append(True, (named[1:] != named[:-1]) | (doc[1:] != doc[:-1]))) if len(p) else np.zeros(0, np.int64)
     last = np.append(new[1:], len(p)) - 1 if len(p) else new
@@ -170,48 +176,49 @@ def _occurrences(docs: DataFrame, n: int) -> DataFrame:
 
 def _windows(texts: DataFrame, n: int) -> DataFrame:
     """Hashes of the suspect windows (h1, h2) of each owner's text, and one row with the text itself (place null)."""
-    schema = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("oid", pa.int64()), ("place", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("text", pa.string())])
+    schema = pa.schema([("oid", pa.int64()), ("w1", pa.int64()), ("place", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known, done = WordHashes(), set()  # rows repeated with id and text count once
         for part in parts(batches):
-            kept, columns = [], [[] for _ in range(6)]
+            kept, columns = [], [[] for _ in range(5)]
             for text, oid, w1, w2, spans in zip(*(part[c] for c in ("text", "oid", "w1", "w2", "spans"))):
                 words = words_of(text)
-                if _halves(sha(words)) != (w1, w2):
-                    continue  # another text under the same id
-                kept.append((w1, w2, oid, text))
+                if (oid, w1) in done or _halves(sha(words)) != (w1, w2):
+                    continue  # or another text under the same id
+                done.add((oid, w1))
+                kept.append((oid, w1, text))
                 h1, h2 = window_hashes(known.of(words), n)
                 places = np.unique(np.concatenate([np.arange(s["first"], s["last"] + 1) for s in spans]))
-                for column, value in zip(columns, (*(np.full(len(places), v, np.int64) for v in (w1, w2, oid)), places, h1[places].view(np.int64), h2[places].view(np.int64))):
+                for column, value in zip(columns, (np.full(len(places), oid, np.int64), np.full(len(places), w1, np.int64), places, h1[places].view(np.int64), h2[places].view(np.int64))):
                     column.append(value)
             if kept:
-                yield arrow_rows(schema, dict(zip(schema.names, (*zip(*[(*k[:3], None, None, None, k[3]) for k in kept]),))))
-                w1, w2, oid, place, h1, h2 = (np.concatenate(c) for c in columns)
-                yield arrow_rows(schema, {"w1": w1, "w2": w2, "oid": oid, "place": place.astype(np.int32), "h1": h1, "h2": h2, "text": pa.nulls(len(w1), pa.string())})
+                yield arrow_rows(schema, dict(zip(schema.names, (*zip(*[(*k[:2], None, None, None, k[2]) for k in kept]),))))
+                oid, w1, place, h1, h2 = (np.concatenate(c) for c in columns)
+                yield arrow_rows(schema, {"oid": oid, "w1": w1, "place": place.astype(np.int32), "h1": h1, "h2": h2, "text": pa.nulls(len(w1), pa.string())})
 
-    return texts.mapInArrow(run, "w1 long, w2 long, oid long, place int, h1 long, h2 long, text string")
+    return texts.mapInArrow(run, "oid long, w1 long, place int, h1 long, h2 long, text string")
 
 
 def _kept(texts: DataFrame, n: int) -> DataFrame:
-    """(w1, w2, n_removed, kept_sha, kept) of texts with the places of the windows that go."""
-    schema = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("n_removed", pa.int64()), ("kept_sha", pa.string()), ("kept", pa.string())])
+    """(oid, w1, n_removed, kept_sha, kept) of texts with the places of the windows that go."""
+    schema = pa.schema([("oid", pa.int64()), ("w1", pa.int64()), ("n_removed", pa.int64()), ("kept_sha", pa.string()), ("kept", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts(batches):
             out = {f.name: [] for f in schema}
-            for text, w1, w2, places in zip(*(part[c] for c in ("text", "w1", "w2", "places"))):
+            for text, oid, w1, places in zip(*(part[c] for c in ("text", "oid", "w1", "places"))):
                 words = words_of(text)
                 edge = np.zeros(len(words) + 1, np.int64)
                 np.add.at(edge, places, 1)
                 np.add.at(edge, np.array(places) + n, -1)
                 stays = np.cumsum(edge)[:-1] == 0
                 left = [w for w, s in zip(words, stays) if s]
-                for name, value in zip(out, (w1, w2, len(words) - len(left), sha(left), b" ".join(left).decode())):
+                for name, value in zip(out, (oid, w1, len(words) - len(left), sha(left), b" ".join(left).decode())):
                     out[name].append(value)
             yield arrow_rows(schema, out)
 
-    return texts.mapInArrow(run, "w1 long, w2 long, n_removed long, kept_sha string, kept string")
+    return texts.mapInArrow(run, "oid long, w1 long, n_removed long, kept_sha string, kept string")
 
 
 def find_repeats(docs: DataFrame, n: int = WORDS) -> DataFrame:
@@ -228,17 +235,19 @@ def find_repeats(docs: DataFrame, n: int = WORDS) -> DataFrame:
     own, named = found.filter("name is null"), found.filter("name is not null")
     owners = own.groupBy("w1", "w2").agg(F.min("oid").alias("owner"))
     shared = named.groupBy("name").agg(F.min("w1").alias("a"), F.max("w1").alias("b")).filter("a < b").select("name")
-    suspects = (
+    suspects = staged(
         named.join(shared, "name").join(owners, ["w1", "w2"]).filter("oid = owner")
         .groupBy("w1", "w2", "oid").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     )
-    compared = staged(_windows(suspects.join(rows, "oid").select("text", "oid", "w1", "w2", "spans"), n))
-    windows, texts = compared.filter("place is not null"), compared.filter("place is null").select("w1", "w2", "text")
+    # A few spans per suspect document: where they are few in all, no text has to be shuffled to meet them.
+    suspects = broadcast_if_small(suspects, F.size("spans").cast("long"), 4 * BROADCAST_ROWS)
+    compared = staged(_windows(rows.join(suspects, "oid").select("text", "oid", "w1", "w2", "spans"), n))
+    windows, texts = compared.filter("place is not null"), compared.filter("place is null").select("oid", "w1", "text")
     earliest = windows.groupBy("h1", "h2").agg(F.min("oid").alias("lo"), F.max("oid").alias("hi")).filter("lo < hi").select("h1", "h2", "lo")
-    gone = windows.join(earliest, ["h1", "h2"]).filter("oid > lo").groupBy("w1", "w2").agg(F.collect_set("place").alias("places"))
-    changed = _kept(gone.join(texts.dropDuplicates(["w1", "w2"]), ["w1", "w2"]).select("text", "w1", "w2", "places"), n)
+    gone = windows.join(earliest, ["h1", "h2"]).filter("oid > lo").groupBy("oid", "w1").agg(F.collect_set("place").alias("places"))
+    changed = _kept(gone.join(texts.dropDuplicates(["oid", "w1"]), ["oid", "w1"]).select("text", "oid", "w1", "places"), n)
     copy = (F.col("oid") > F.col("owner")) & (F.col("last") >= n)
-    return own.join(owners, ["w1", "w2"]).join(changed, ["w1", "w2"], "left").select(
+    return own.join(owners, ["w1", "w2"]).join(changed, ["oid", "w1"], "left").select(
         F.when(F.col("oid") < _LAST, F.col("oid")).alias("doc_id"), "text_key", F.col("last").cast("long").alias("n_words"),
         F.when(copy, F.col("last").cast("long")).otherwise(F.coalesce("n_removed", F.lit(0).cast("long"))).alias("n_removed"),
         F.when(copy, F.lit(_NOTHING)).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
