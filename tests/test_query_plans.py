@@ -9,7 +9,7 @@ import pytest
 from tidewater import registry
 
 FOLDER = "/root/testdata/sf0.001"
-PLANNED = [n for n in sorted(registry.queries()) if n.startswith(("q0", "q1", "q2", "ag", "jn", "or", "st", "wn"))]
+PLANNED = [n for n in sorted(registry.queries()) if n.startswith(("q0", "q1", "q2", "ag", "dq0", "ds", "fn", "hx", "jn", "or", "pj", "st", "wn"))]
 
 
 def plan_of(df) -> str:

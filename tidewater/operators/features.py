@@ -84,7 +84,13 @@ def standardise(df: DataFrame, cols: Sequence[str], scale: int | None = None) ->
     return base.select(*[z(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def key_share(key: Column, parts: int) -> Column:
+    """A share number from 0 to parts - 1 for a whole-number key, by arithmetic that any engine can repeat."""
+    mixed = F.pmod(key.cast("long"), F.lit(1_000_003)) * 7919 + 104_729
+    return F.floor(F.pmod(mixed, F.lit(1_000_003)) * parts / 1_000_003).cast("int")
+
+
 def hash_split(df: DataFrame, key: str, pct: int) -> tuple[DataFrame, DataFrame]:
-    """Train / validation by a hash of the key: the same rows on every run and every cluster."""
-    side = F.pmod(F.xxhash64(key), F.lit(100)) < pct
+    """Train / validation by a hash of the whole-number key: the same rows on every run and every cluster."""
+    side = key_share(F.col(key), 100) < pct
     return df.filter(side), df.filter(~side)

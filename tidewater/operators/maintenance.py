@@ -79,9 +79,10 @@ def constraint_report(
     return out
 
 
-def create_if_missing(spark: SparkSession, table: str, schema) -> None:
+def create_if_missing(spark: SparkSession, table: str, schema, location: str | None = None) -> None:
+    """An empty table, unless there is one of this name; `location` as in `load_table`."""
     if not spark.catalog.tableExists(table):
-        spark.createDataFrame([], schema).write.saveAsTable(table)
+        spark.createDataFrame([], schema).write.options(**({"path": location} if location else {})).saveAsTable(table)
 
 
 def snapshot(df: DataFrame, table: str) -> None:

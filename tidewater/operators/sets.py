@@ -18,8 +18,13 @@ def union_tagged(frames: Mapping[str, DataFrame], tag: str = "source") -> DataFr
 
 
 def count_duplicates(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each set of equal rows."""
-    per = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
+    """Rows beyond the first of each set of equal rows.
+
+    Texts are told by their 256-bit digest and length, so that whole texts aren't shuffled.
+    """
+    texts = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+    keys = [F.sha2(c, 256) if c in texts else F.col(c) for c in df.columns] + [F.length(c) for c in texts]
+    per = df.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_c"))
     return per.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0).cast("long")).alias("duplicates"))
 
 

@@ -93,12 +93,16 @@ def weighted_ma(
     raise ValueError("impl is 'lag' or 'array'")
 
 
-def with_group_value(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
+def with_group_value(df: DataFrame, keys: Sequence[str], bounded: bool = False, **aggs: Column) -> DataFrame:
     """Put group aggregates beside every row.
 
-    An aggregate joined back, not a window: the aggregate combines on the map side, so a key that
-    holds a third of the rows never has to fit in one task.
+    An aggregate joined back: it combines on the map side, so a key that holds a third of the rows
+    never has to fit in one task. `bounded` says that a group can't grow with the table (the lines of
+    one order): then a window does it with one shuffle.
     """
+    if bounded:
+        w = Window.partitionBy(*keys)
+        return df.select("*", *[c.over(w).alias(o) for o, c in aggs.items()])
     per_key = df.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(*[c.alias(o) for o, c in aggs.items()])
     on = None
     for k in keys:

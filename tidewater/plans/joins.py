@@ -116,6 +116,19 @@ def name_rules(t: Tables) -> DataFrame:
     return matched.fillna("none", ["action"])
 
 
+@job("jn10_parameter_row_range", """
+    WITH par AS (SELECT DATE '1997-03-01' AS from_dt, DATE '1997-05-31' AS to_dt)
+    SELECT o_orderkey, o_custkey FROM orders JOIN par ON o_orderdate >= from_dt AND o_orderdate < to_dt + INTERVAL 1 DAY
+""")
+def parameter_row_range(t: Tables) -> DataFrame:
+    """The parameters are one row; as scalar subqueries they become constants of the scan."""
+    par = t.spark.sql("SELECT DATE '1997-03-01' AS from_dt, DATE '1997-05-31' AS to_dt")
+    stored = t.orders.schema["o_orderdate"].dataType
+    first, last = par.select("from_dt").scalar(), par.select("to_dt").scalar()
+    inside = (F.col("o_orderdate") >= first.cast(stored)) & (F.col("o_orderdate") < F.date_add(last, 1).cast(stored))
+    return t.orders.filter(inside).select("o_orderkey", "o_custkey")
+
+
 @job("jn14_lateral_unnest", """
     SELECT vec_id, pos, CAST(v AS DOUBLE) AS v FROM (
         SELECT vec_id, unnest(range(len(embedding))) AS pos, unnest(embedding) AS v FROM embeddings)

@@ -130,7 +130,10 @@ def split_by_key(t: Tables) -> DataFrame:
     return t.orders.groupBy(side.alias("validation")).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-@job("ml14_hash_split")
+@job("ml14_hash_split", """
+    SELECT CASE WHEN floor(((o_orderkey % 1000003) * 7919 + 104729) % 1000003 * 100 / 1000003) < 80 THEN 'train' ELSE 'validation' END AS side, count(*) AS cnt
+    FROM orders GROUP BY 1
+""")
 def hash_split(t: Tables) -> DataFrame:
     train, valid = features.hash_split(t.orders, "o_orderkey", 80)
     return train.agg(F.lit("train").alias("side"), F.count(F.lit(1)).alias("cnt")).unionByName(

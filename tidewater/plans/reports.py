@@ -133,7 +133,7 @@ def gazetteer(t: Tables) -> DataFrame:
 """)
 def percent_of_first_line(t: Tables) -> DataFrame:
     order = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    lines = windows.with_group_value(t.lineitem, ["l_orderkey"], _first=F.min(order))
+    lines = windows.with_group_value(t.lineitem, ["l_orderkey"], bounded=True, _first=F.min(order))
     first = F.col("_first.l_extendedprice")
     pct = F.when(first == 0, 0.0).otherwise(F.round(F.try_divide(F.col("l_extendedprice"), first) * 100, 4))
     return lines.select("l_orderkey", "l_partkey", "l_linenumber", F.col("_first.l_partkey").alias("first_part"),
@@ -298,7 +298,9 @@ def busiest_places(t: Tables) -> DataFrame:
     # Moves of one order at one place are merged before the join with the ticket counts.
     moves = union_tagged({"departure": out, "arrival": back}, tag="typ").groupBy("place", "k").agg(
         F.count_if(F.col("typ") == "departure").alias("dep"), F.count_if(F.col("typ") == "arrival").alias("arr"))
-    tickets = t.lineitem.groupBy(F.col("l_orderkey").alias("k")).agg(F.count(F.lit(1)).alias("tickets"))
+    # Only orders that moved have their tickets counted.
+    moved = t.lineitem.join(moves.select(F.col("k").alias("_k")).distinct(), F.col("l_orderkey") == F.col("_k"), "left_semi")
+    tickets = moved.groupBy(F.col("l_orderkey").alias("k")).agg(F.count(F.lit(1)).alias("tickets"))
     named = moves.join(tickets, "k", "left").join(F.broadcast(t.nation), F.col("n_nationkey") == F.col("place"), "left")
     both = F.col("dep") + F.col("arr")
     per_place = named.groupBy(F.coalesce("n_name", F.col("place").cast("string")).alias("place_name")).agg(
@@ -324,7 +326,9 @@ def continuous_quarter(t: Tables) -> DataFrame:
     calendar = orders.select(F.trunc("o_orderdate", "month").alias("mn")).distinct()
     runs = windows.islands(calendar, "mn").groupBy("island_id").agg(F.min("mn").alias("lo"), F.max("mn").alias("hi"))
     start = runs.filter(F.datediff("hi", "lo") > 92).agg(F.min("lo")).scalar()
-    period = orders.filter((F.to_date("o_orderdate") >= start) & (F.to_date("o_orderdate") < F.add_months(start, 3)))
+    # The stored time is compared, not its day, so that the scan can skip by it.
+    stored = t.orders.schema["o_orderdate"].dataType
+    period = orders.filter((F.col("o_orderdate") >= start.cast(stored)) & (F.col("o_orderdate") < F.add_months(start, 3).cast(stored)))
     sold = t.lineitem.join(period, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("p_partkey") == F.col("l_partkey"))
     s = sold.groupBy(F.trunc("o_orderdate", "month").alias("mn"), "p_type").agg(F.count_distinct("o_orderkey").alias("order_cnt"))
     # Three rows per category reach this window.
@@ -396,7 +400,7 @@ def order_card_first(t: Tables) -> DataFrame:
 @job("q23_order_card_all_max", _CARD_SQL.format(
     pick="string_agg(p_name, ', ' ORDER BY p_name) FILTER (WHERE totaldue = max_due)"))
 def order_card_all(t: Tables) -> DataFrame:
-    lines = windows.with_group_value(_order_lines(t), ["order_num"], max_due=F.max("totaldue"))
+    lines = windows.with_group_value(_order_lines(t), ["order_num"], bounded=True, max_due=F.max("totaldue"))
     return lines.groupBy("order_num", "city", "city_total").agg(
         F.count_distinct("p_name").alias("uniq_product_cnt"), F.sum("totaldue").alias("due"),
         F.expr("listagg(p_name, ', ') WITHIN GROUP (ORDER BY p_name) FILTER (WHERE totaldue = max_due)").alias("max_due_product"),

@@ -90,7 +90,11 @@ def _flight_totals(df: DataFrame) -> DataFrame:
 def typed_bulk_load(t: Tables) -> DataFrame:
     path = new_folder(t, "sr04")
     t.lineitem.selectExpr(*_flight_columns()).write.csv(path, header=True)
-    return _flight_totals(t.spark.read.schema(schemas.FLIGHTS).csv(path, header=True, quote='"'))
+    # The table is dropped and made anew: loading twice leaves one copy.
+    table, folder = f"flights_{uuid.uuid4().hex}", new_folder(t, "sr04-table")
+    for _ in range(2):
+        loaded = files.load_table(t.spark, path, schemas.FLIGHTS, table, folder)
+    return _flight_totals(loaded)
 
 
 @job("sr05_land_one_month_twice", _FLIGHT_SQL.format(where="WHERE year(l_shipdate) = 1997 AND month(l_shipdate) = 3"))
@@ -321,6 +325,17 @@ def delete_smallest(t: Tables) -> DataFrame:
     return maintenance.delete_min(t.orders, "o_orderkey")
 
 
+@job("tm04_create_if_missing", "SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name FROM supplier")
+def create_if_missing(t: Tables) -> DataFrame:
+    """Made twice, filled once: the second statement finds the table and leaves its rows."""
+    table, rows = f"suppliers_{uuid.uuid4().hex}", t.supplier.select(F.col("s_suppkey").cast("long").alias("s_suppkey"), "s_name")
+    folder = new_folder(t, "tm04")
+    maintenance.create_if_missing(t.spark, table, rows.schema, folder)
+    rows.write.insertInto(table)
+    maintenance.create_if_missing(t.spark, table, rows.schema, folder)
+    return t.spark.table(table)
+
+
 @job("tm03_insert_from_scalars", """
     SELECT s_suppkey AS trip, s_nationkey AS ord, s_suppkey AS city, 10 AS days FROM supplier
     UNION ALL SELECT (SELECT min(s_suppkey) FROM supplier), coalesce((SELECT min(s_nationkey) FROM supplier), 0) + 1, (SELECT max(c_custkey) FROM customer), 5

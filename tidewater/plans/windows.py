@@ -51,7 +51,7 @@ def month_islands(t: Tables) -> DataFrame:
 """)
 def first_value_by_condition(t: Tables) -> DataFrame:
     order = F.struct((F.col("l_returnflag") != "R").alias("f"), "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    beside = windows.with_group_value(t.lineitem, ["l_orderkey"], _s=F.min(order))
+    beside = windows.with_group_value(t.lineitem, ["l_orderkey"], bounded=True, _s=F.min(order))
     return beside.select("l_orderkey", "l_partkey", "l_linenumber", F.col("_s.l_extendedprice").alias("lead_price"))
 
 
@@ -126,8 +126,8 @@ def frame_count(t: Tables) -> DataFrame:
            max(l_quantity) OVER w AS max_qty, count(*) OVER w AS lines FROM lineitem WINDOW w AS (PARTITION BY l_orderkey)
 """)
 def group_values(t: Tables) -> DataFrame:
-    return windows.with_group_value(t.lineitem, ["l_orderkey"], order_sum=exact_sum("l_extendedprice"), max_qty=F.max("l_quantity"),
-                                    lines=F.count(F.lit(1))).select("l_orderkey", "l_linenumber", "l_partkey", "order_sum", "max_qty", "lines")
+    return windows.with_group_value(t.lineitem, ["l_orderkey"], bounded=True, order_sum=F.sum(F.col("l_extendedprice").cast("decimal(18,2)")), max_qty=F.max("l_quantity"),
+                                    lines=F.count(F.lit(1))).select("l_orderkey", "l_linenumber", "l_partkey", F.col("order_sum").cast("double").alias("order_sum"), "max_qty", "lines")
 
 
 @job("wn12_rank_in_group", "SELECT p_partkey, rank() OVER (PARTITION BY p_brand ORDER BY p_size DESC) AS r FROM part")

@@ -41,5 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
             if not sc.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
             configured = tempfile.mkdtemp(prefix="tidewater-")
+        elif not sc.master.startswith("local") and "://" not in configured and not configured.startswith("file:"):
+            raise ValueError(f"spark.checkpoint.dir is {configured!r}: name the shared file system in it")
         sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -82,10 +82,13 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").csv(path, header=True, sep=sep)
 
 
-def load_table(spark: SparkSession, path: str, schema, table: str) -> DataFrame:
-    """Typed bulk load of a CSV with header, replacing the table. Empty cells become NULL."""
+def load_table(spark: SparkSession, path: str, schema, table: str, location: str | None = None) -> DataFrame:
+    """Typed bulk load of a CSV with header, replacing the table. Empty cells become NULL.
+
+    `location` is the table's folder; without it the table lies in the session's warehouse.
+    """
     df = spark.read.schema(schema).csv(path, header=True, quote='"')
-    df.write.mode("overwrite").saveAsTable(table)
+    df.write.mode("overwrite").options(**({"path": location} if location else {})).saveAsTable(table)
     return spark.table(table)
 
 

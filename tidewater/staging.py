@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.session import shared_dir
@@ -26,10 +26,10 @@ def _written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows that come from fewer files than there are cores over all cores; larger inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+def discard(spark: SparkSession) -> None:
+    """Remove all staged tables of this application; call it when results have been read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/staged-{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -37,9 +37,9 @@ def stage(df: DataFrame) -> DataFrame:
 
     A parquet table rather than a checkpoint: later steps read only the columns they need, filters
     with known thresholds skip row groups, and the join planner sees real sizes. The tables of one
-    application lie in one folder, so that they can be removed together after it has ended.
+    application lie in one folder; `discard` removes them once results have been read.
     """
-    return _written(spread(df))
+    return _written(df)
 
 
 def slices_for(df: DataFrame, partitions: int | None = None) -> int:
