@@ -23,7 +23,7 @@ from tidewater.llm.common import WordHashes, mixed, parts, remainder, staged, wo
 DEPTH = 5
 #: Nodes seen at less than this share of the training bytes are left to the node above: at most
 #: 8 / NODE_SHARE nodes a depth, whatever the size of the corpus.
-NODE_SHARE = 2.0**-20
+NODE_SHARE = 2.0**-19
 #: Words with at least this share of the training tokens (at most 1 / WORD_SHARE of them) are known to every task; rarer ones are joined.
 WORD_SHARE = 2.0**-18
 #: Distinct byte sequences a task gathers before it hands them on, and slots for byte sequences already scored.
@@ -212,10 +212,10 @@ def score_documents(docs: DataFrame, by: int = 10, depth: int = DEPTH) -> DataFr
         kept = level if d == 0 else level.filter(F.col("n0") + F.col("n1") >= max(1, totals["bytes"] * NODE_SHARE))
         found = kept.select(
             (F.shiftleft("context", 8) + F.col("node")).alias("key"), ((F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)).alias("one"), "stop"
-        ).toPandas()
-        nodes.append(tuple(found[c].to_numpy() for c in ("key", "one", "stop")))
-    common = words.filter(F.col("n") >= max(1, totals["tokens"] * WORD_SHARE)).toPandas().sort_values("key")
-    shared = spark.sparkContext.broadcast((nodes, common["key"].to_numpy(np.int64), common["n"].to_numpy(np.int64)))
+        ).toArrow()
+        nodes.append((found["key"].to_numpy(), found["one"].to_numpy().astype(np.float32), found["stop"].to_numpy().astype(np.float32)))
+    common = words.filter(F.col("n") >= max(1, totals["tokens"] * WORD_SHARE)).orderBy("key").toArrow()
+    shared = spark.sparkContext.broadcast((nodes, common["key"].to_numpy(), common["n"].to_numpy()))
     ends = totals["ends"]
 
     names = ("row", "doc_id", "n_tokens", "n_known", "base", "score", "word")

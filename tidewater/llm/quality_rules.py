@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import staged, whole_row
+from tidewater.llm.common import broadcast_if_small, staged, whole_row
 
 BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -144,7 +144,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, level: f
         F.struct(F.lit(name).alias("rule"), F.lit(i).alias("step"), F.lit(float(c)).alias("cutoff"), (_values()[name] >= c).alias("hit"))
         for name, steps in grid.items() for i, c in enumerate(steps)
     ])
-    counted = (
+    counted = staged(  # read three times below
         measured.join(truth, "doc_id").select(stratum(F.col("lang")).alias("stratum"), "_good", F.inline(rules))
         .groupBy("stratum", "rule", "step", "cutoff").agg(
             F.sum("_good").cast("long").alias("n"), F.sum((F.col("hit") & (F.col("_good") == 1)).cast("long")).alias("k"),
@@ -171,14 +171,17 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float =
 
     base_failed: fewer than 50 words, or over half of the words in repeated windows. The rest is kept
     unless a certified cutoff of its stratum rejects it. Strata without enough labels have no cutoffs,
-    so without labels only the base rules reject. Measures are written once and used twice. Labels
-    are joined by doc_id; a document without an id is judged but no holdout. Repeated rows stay.
+    so without labels only the base rules reject. Labels are joined by doc_id; a document without an id
+    is judged but no holdout. Repeated rows stay. Labelled documents are measured twice, once for the
+    cutoffs: cheaper than writing all texts beside their measures.
     """
     own = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "base_failed", "kept")
     columns = [c for c in docs.columns if c not in own]
     rows = docs.select(*[F.col(f"`{c}`") for c in columns])
-    measured = staged(measures(rows.select(whole_row(rows).alias("row"), "doc_id", "lang", "text")).drop("text"))
-    best = cutoffs(measured.select("doc_id", "lang", *own[:6]), labels, risk, level)
+    known = broadcast_if_small(staged(labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()))
+    holdout = rows.select("doc_id", "lang", "text").join(known, "doc_id", "left_semi")
+    best = cutoffs(measures(holdout).drop("text"), labels, risk, level)
+    measured = measures(rows.select(whole_row(rows).alias("row"), "lang", "text")).drop("text")
     wide = best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == name, F.col("cutoff"))).alias(f"_c_{name}") for name in GRID])
     hit = F.lit(False)
     for name, value in _values().items():

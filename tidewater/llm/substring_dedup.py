@@ -234,7 +234,8 @@ def find_repeats(docs: DataFrame, n: int = WORDS) -> DataFrame:
     found = staged(_occurrences(rows, n))
     own, named = found.filter("name is null"), found.filter("name is not null")
     owners = own.groupBy("w1", "w2").agg(F.min("oid").alias("owner"))
-    shared = named.groupBy("name").agg(F.min("w1").alias("a"), F.max("w1").alias("b")).filter("a < b").select("name")
+    # Grouped tables are written before they are joined: then a hot key's rows on the other side can be split.
+    shared = staged(named.groupBy("name").agg(F.min("w1").alias("a"), F.max("w1").alias("b")).filter("a < b").select("name"))
     suspects = staged(
         named.join(shared, "name").join(owners, ["w1", "w2"]).filter("oid = owner")
         .groupBy("w1", "w2", "oid").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
@@ -243,7 +244,7 @@ def find_repeats(docs: DataFrame, n: int = WORDS) -> DataFrame:
     suspects = broadcast_if_small(suspects, F.size("spans").cast("long"), 4 * BROADCAST_ROWS)
     compared = staged(_windows(rows.join(suspects, "oid").select("text", "oid", "w1", "w2", "spans"), n))
     windows, texts = compared.filter("place is not null"), compared.filter("place is null").select("oid", "w1", "text")
-    earliest = windows.groupBy("h1", "h2").agg(F.min("oid").alias("lo"), F.max("oid").alias("hi")).filter("lo < hi").select("h1", "h2", "lo")
+    earliest = staged(windows.groupBy("h1", "h2").agg(F.min("oid").alias("lo"), F.max("oid").alias("hi")).filter("lo < hi").select("h1", "h2", "lo"))
     gone = windows.join(earliest, ["h1", "h2"]).filter("oid > lo").groupBy("oid", "w1").agg(F.collect_set("place").alias("places"))
     changed = _kept(gone.join(texts.dropDuplicates(["oid", "w1"]), ["oid", "w1"]).select("text", "oid", "w1", "places"), n)
     copy = (F.col("oid") > F.col("owner")) & (F.col("last") >= n)
