@@ -159,7 +159,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder_col(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
 
 
-@query("op1_substring_dedup")
+@query("op1_substring_dedup", r"""
+    WITH t AS (
+        SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents)),
+    win AS (SELECT doc_id, i, md5(string_agg(word, ' ') OVER f) AS k, count(*) OVER f AS n FROM t
+            WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+    least AS (SELECT k, min(doc_id) AS m FROM win WHERE n = 50 GROUP BY k),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM win JOIN least USING (k) WHERE n = 50 AND m < doc_id),
+    marked AS (SELECT t.doc_id, t.i, word, g.i IS NOT NULL AS gone FROM t LEFT JOIN gone g ON g.doc_id = t.doc_id AND g.i = t.i),
+    summed AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+                      string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM marked GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM documents LEFT JOIN summed USING (doc_id)
+    """)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.substring_dedup import find_repeats
 
@@ -186,7 +199,22 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
-@query("op8_jaccard_join")
+@query("op8_jaccard_join", r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    t AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i, len(w) AS n FROM w),
+    five AS (SELECT doc_id, i, n, md5(string_agg(word, ' ') OVER f) AS s, count(*) OVER f AS c FROM t
+             WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+    sh AS (SELECT DISTINCT doc_id, s FROM five WHERE c = 5 OR (n < 5 AND i = 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+    pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_ FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * both_ >= 75 * (x.n + y.n - both_)),
+    reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+    least AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
+    FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON a = doc_id
+    """)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.jaccard_join import link_documents
 
