@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +102,18 @@ def test_staged_tables_can_be_removed(spark):
     assert fs.exists(path)
     staging.discard(spark)
     assert not fs.exists(path)
+
+
+@pytest.mark.parametrize("rho", [0.1, 0.4, 0.8])
+def test_phi_k_of_a_halved_binormal(rho):
+    """Quadrants of a binormal hold 1/4 + asin(rho) / 2 pi, so the table's chi-square is known in closed form."""
+    n = 1e9
+    same = 0.25 + math.asin(rho) / (2 * math.pi)
+    chi2 = n * 4 * 2 * ((same - 0.25) ** 2 + (0.25 - same) ** 2)
+    assert stats.phi_k(chi2, [n / 2, n / 2], [n / 2, n / 2]) == pytest.approx(rho, abs=1e-3)
+
+
+def test_phi_k_ends(spark):
+    rows = spark.range(4000).select((F.col("id") % 4).alias("a"), (F.col("id") % 4 + 10).alias("b"), F.floor(F.col("id") / 1000).alias("c"), F.lit(1).alias("d"))
+    got = {(r["a"], r["b"]): r["phi_k"] for r in stats.phi_k_matrix(rows, ["a", "b", "c", "d"]).collect()}
+    assert got[("a", "b")] == 1.0 and got[("a", "c")] == 0.0 and got[("a", "d")] == 0.0

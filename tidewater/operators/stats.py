@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from statistics import NormalDist
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,12 +150,8 @@ def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.agg(F.regr_slope(F.col(y), F.col(x)).alias("slope"), F.regr_intercept(F.col(y), F.col(x)).alias("intercept"))
 
 
-def association_matrix(df: DataFrame, cols: Sequence[str], interval_cols: Sequence[str] = (), bins: int = 10) -> DataFrame:
-    """Chi-square and Cramer's V for each pair of columns (a < b), numbers cut in equal-width bins.
-
-    One pass expands a row to its column pairs and counts combinations on the map side; what
-    follows works on contingency tables only.
-    """
+def _cells(df: DataFrame, cols: Sequence[str], interval_cols: Sequence[str], bins: int) -> DataFrame:
+    """Contingency tables (a, b, x, y, o) of all column pairs a < b, from one pass that counts on the map side."""
     src = df
     if interval_cols:
         edges = df.agg(F.struct(*[f(F.col(c).cast("double")).alias(f"{n}_{c}")
@@ -165,10 +165,19 @@ def association_matrix(df: DataFrame, cols: Sequence[str], interval_cols: Sequen
         return F.least(F.floor(F.coalesce(width, F.lit(0.0))), F.lit(bins - 1)).cast("string")
     leveled = src.select(*[F.when(F.col(c).isNotNull(), level(c)).alias(c) for c in cols])
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    cells = leveled.select(F.explode(F.array(*[
+    return leveled.select(F.explode(F.array(*[
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).alias("x"), F.col(b).alias("y")) for a, b in pairs
     ])).alias("s")).select("s.*").filter("x IS NOT NULL AND y IS NOT NULL").groupBy("a", "b", "x", "y").agg(
         F.count(F.lit(1)).cast("double").alias("o"))
+
+
+def association_matrix(df: DataFrame, cols: Sequence[str], interval_cols: Sequence[str] = (), bins: int = 10) -> DataFrame:
+    """Chi-square and Cramer's V for each pair of columns (a < b), numbers cut in equal-width bins.
+
+    One pass expands a row to its column pairs and counts combinations on the map side; what
+    follows works on contingency tables only.
+    """
+    cells = _cells(df, cols, interval_cols, bins)
     rows = cells.groupBy("a", "b", "x").agg(F.sum("o").alias("rx"))
     columns = cells.groupBy("a", "b", "y").agg(F.sum("o").alias("cy"))
     totals = cells.groupBy("a", "b").agg(
@@ -180,3 +189,55 @@ def association_matrix(df: DataFrame, cols: Sequence[str], interval_cols: Sequen
     free = F.least("kx", "ky") - 1
     return terms.join(totals, ["a", "b"]).select(
         "a", "b", chi2.alias("chi2"), F.sqrt(F.try_divide(F.greatest(chi2, F.lit(0.0)), F.col("n") * free)).alias("cramers_v"))
+
+
+def _normal_cells(rho: float, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Probabilities of a standard binormal over cells whose borders are quantiles u and v (0 to 1)."""
+    if rho >= 1:
+        return np.clip(np.minimum(u[1:, None], v[None, 1:]) - np.maximum(u[:-1, None], v[None, :-1]), 0, None)
+    normal = NormalDist()
+    nodes, weights = np.polynomial.legendre.leggauss(32)
+    at = (u[:-1, None] + u[1:, None]) / 2 + (u[1:, None] - u[:-1, None]) / 2 * nodes
+    x = np.vectorize(normal.inv_cdf)(np.clip(at, 1e-15, 1 - 1e-15))
+    y = np.array([-np.inf, *map(normal.inv_cdf, v[1:-1]), np.inf])
+    below = np.vectorize(normal.cdf)((y - rho * x[:, :, None]) / math.sqrt(1 - rho * rho))
+    return ((np.diff(below, axis=2) * weights[:, None]).sum(1)) * ((u[1:] - u[:-1]) / 2)[:, None]
+
+
+def phi_k(chi2: float, rows: Sequence[float], columns: Sequence[float]) -> float:
+    """The binormal correlation whose table of the same margins has this chi-square, less what chance alone gives (0 to 1)."""
+    r, c = np.array(rows, float), np.array(columns, float)
+    n, top = r.sum(), min(len(r), len(c)) - 1
+    free = (len(r) - 1) * (len(c) - 1)
+    if top < 1 or chi2 <= free:
+        return 0.0
+    if chi2 >= n * top:
+        return 1.0
+    u, v = (np.append(0, np.cumsum(m)) / n for m in (r, c))
+    even = np.outer(r, c) / n / n
+    size = lambda rho: n * float((((_normal_cells(rho, u, v)) - even) ** 2 / even).sum())
+    wanted = (chi2 - free) * size(1.0) / (n * top - free)
+    low, high = 0.0, 1.0
+    for _ in range(40):
+        middle = (low + high) / 2
+        low, high = (middle, high) if size(middle) < wanted else (low, middle)
+    return (low + high) / 2
+
+
+def phi_k_matrix(df: DataFrame, cols: Sequence[str], interval_cols: Sequence[str] = (), bins: int = 10) -> DataFrame:
+    """(a, b, phi_k) for each pair of columns (a < b), numbers cut in equal-width bins.
+
+    The tables are counted in Spark; each pair's margins, as long as its columns have levels, go to one
+    small numeric root.
+    """
+    cells = _cells(df, cols, interval_cols, bins)
+    margins = cells.groupBy("a", "b", F.lit(0).alias("side"), F.col("x").alias("level")).agg(F.sum("o").alias("m")).unionByName(
+        cells.groupBy("a", "b", F.lit(1).alias("side"), F.col("y").alias("level")).agg(F.sum("o").alias("m")))
+    both = margins.join(association_matrix(df, cols, interval_cols, bins).select("a", "b", "chi2"), ["a", "b"])
+
+    def solve(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("level")
+        sides = [rows["m"][rows["side"] == side].tolist() for side in (0, 1)]
+        return pd.DataFrame({"a": rows["a"].iloc[:1], "b": rows["b"].iloc[:1], "phi_k": [phi_k(float(rows["chi2"].iloc[0]), *sides)]})
+
+    return both.groupBy("a", "b").applyInPandas(solve, "a string, b string, phi_k double")

@@ -124,6 +124,11 @@ def association_matrix(t: Tables) -> DataFrame:
     return got.select("a", "b", F.round("chi2", 6).alias("chi2"), F.round("cramers_v", 6).alias("cramers_v"))
 
 
+@job("ml13_phi_k")
+def phi_k(t: Tables) -> DataFrame:
+    return stats.phi_k_matrix(t.lineitem, ["l_returnflag", "l_linenumber", "l_quantity", "l_discount"], ["l_quantity", "l_discount"], bins=5)
+
+
 @job("ml14_split_by_key", "SELECT CAST(o_orderkey % 5 = 0 AS BOOLEAN) AS validation, count(*) AS cnt FROM orders GROUP BY 1")
 def split_by_key(t: Tables) -> DataFrame:
     side = F.col("o_orderkey") % 5 == 0
