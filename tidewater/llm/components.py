@@ -31,9 +31,10 @@ def components(edges: DataFrame) -> DataFrame:
     edges = staged(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b").distinct())
     state = None
     while True:
-        edges = staged(_stars(_stars(edges, large=True), large=False))
-        new = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head()
+        # Edges run from the larger to the smaller node, so that stars are known as such from the first.
+        new = edges.agg(F.count("*"), F.sum(F.xxhash64(F.greatest("a", "b"), F.least("a", "b")).cast("decimal(38,0)"))).head()
         if tuple(new) == state:
             break
         state = tuple(new)
+        edges = staged(_stars(_stars(edges, large=True), large=False))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
