@@ -322,3 +322,30 @@ def test_context_trees_mix_as_the_definition_says(spark):
             p = predict(0, s >> 8, node) if (0, 0, node) in seen else 0.5
             total += math.log(p if bit else 1 - p)
         assert got == pytest.approx(total, abs=1e-9)
+
+
+@pytest.mark.parametrize("common", [lm_scoring.COMMON, 300])
+def test_language_model_uses_every_node(spark, monkeypatch, common):
+    """On a corpus where a share of the bytes would cut nodes, the scores are those of the whole trees, known to tasks or joined."""
+    monkeypatch.setattr(lm_scoring, "COMMON", common)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijkl" if rng.random() < 0.02 else "abc", k=rng.randint(2, 8)))
+    rows = [(i, " ".join(word() for _ in range(260))) for i in range(850)]
+    rows += [(2000, "zebra quiz \u65e5\u672c"), (2001, None), (None, "null id"), (7, rows[7][1])]
+    held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0
+    streams = [lm_scoring.stream(words(t, lower=True)) for _, t in rows]
+    keys, n = np.unique(lm_scoring.sequences([s for (i, _), s in zip(rows, streams) if not held(i)]), return_counts=True)
+    assert n.sum() * 2.0**-19 > 2
+    levels = lm_scoring.tree_levels(spark.createDataFrame(list(zip(keys.tolist(), n.tolist())), "key long, n long").repartition(4))
+    nodes = []
+    for level in levels:
+        t = level.selectExpr("(context << 8) + node as key", "(n1 + 0.5D) / (n0 + n1 + 1) as one", "stop").toArrow()
+        nodes.append(tuple(t[c].to_numpy() for c in ("key", "one", "stop")))
+    trees = lm_scoring.ContextTrees(nodes)
+    want = []
+    for (i, _), s in zip(rows, streams):
+        ln = trees.log_probability(lm_scoring.sequences([s]))
+        want.append((i, round(float(ln.sum()) / math.log(10), 5)))
+    got = [(r["doc_id"], round(r["score"], 5)) for r in lm_scoring.score_documents(frame(spark, rows).repartition(3)).collect()]
+    assert [k[0] for k in sorted(got, key=key)] == [k[0] for k in sorted(want, key=key)]
+    assert all(a[1] == pytest.approx(b[1], abs=3e-5) for a, b in zip(sorted(got, key=key), sorted(want, key=key)))

@@ -3,8 +3,9 @@
 A text is its words in lower case (A-Z only), joined by blanks and ended by a line feed. Each byte is
 coded as eight binary decisions; each decision has a tree over the bytes before, up to `DEPTH` of them.
 A tree node holds a Krichevsky-Trofimov estimate of its counts and, from the counts of the nodes below,
-the weight that context-tree weighting gives to stopping there. Counting, and the weights level by
-level, are Spark jobs; tasks score whole texts with the nodes that matter.
+the weight that context-tree weighting gives to stopping there. Counting, the weights level by level
+and the probability of every distinct byte sequence are Spark jobs over all nodes. Tasks sum whole
+texts with the commonest sequences; the other sequences of a text are joined.
 """
 
 from __future__ import annotations
@@ -21,13 +22,12 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import WordHashes, mixed, parts, remainder, staged, words_of
 
 DEPTH = 5
-#: Nodes seen at less than this share of the training bytes are left to the node above: at most
-#: 8 / NODE_SHARE nodes a depth, whatever the size of the corpus.
-NODE_SHARE = 2.0**-19
+#: Byte sequences whose probabilities every task knows, at most and the commonest; the others are joined.
+COMMON = 1 << 19
 #: Words with at least this share of the training tokens (at most 1 / WORD_SHARE of them) are known to every task; rarer ones are joined.
 WORD_SHARE = 2.0**-18
-#: Distinct byte sequences a task gathers before it hands them on, and slots for byte sequences already scored.
-GATHERED, SLOTS = 2_000_000, 1 << 22
+#: Distinct byte sequences a task gathers before it hands them on, and slots to look up the commonest ones.
+GATHERED, SLOTS = 2_000_000, 1 << 21
 
 
 def stream(words: list[bytes]) -> bytes:
@@ -48,8 +48,11 @@ def sequences(streams: list[bytes], depth: int = DEPTH) -> np.ndarray:
 
 
 def _counts(docs: DataFrame, by: int, depth: int) -> DataFrame:
-    """(kind, key, n): byte sequences (0), word hashes (1) and end tokens (2) of the training documents, added up per task."""
-    schema = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("n", pa.int64())])
+    """(kind, key, n, learnt), added up per task: byte sequences (0) of all documents, word hashes (1) and end tokens (2) of the training documents.
+
+    `learnt` is the part of n that comes from training documents.
+    """
+    schema = pa.schema([("kind", pa.int8()), ("key", pa.int64()), ("n", pa.int64()), ("learnt", pa.int64())])
 
     def merged(old: tuple, keys: np.ndarray) -> tuple:
         k, n = np.unique(keys, return_counts=True)
@@ -58,26 +61,31 @@ def _counts(docs: DataFrame, by: int, depth: int) -> DataFrame:
             n = np.bincount(at, np.concatenate([old[1], n]), len(k)).astype(np.int64)
         return k, n
 
-    def rows(kind: int, found: tuple) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(found[0]), kind, np.int8)), pa.array(found[0]), pa.array(found[1].astype(np.int64))], schema=schema)
+    def rows(kind: int, found: tuple, learnt: bool = True) -> pa.RecordBatch:
+        n = found[1].astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int8)), pa.array(found[0]), pa.array(n), pa.array(n * learnt)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, none = WordHashes(), (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        found, ends = [none, none], 0
+        found, ends = [none, none, none], 0
+        kinds = ((0, True), (1, True), (0, False))
         for part in parts(batches):
-            words = [words_of(t, lower=True) for i, t in zip(part["doc_id"], part["text"]) if remainder(i, by)]
-            ends += len(words)
-            found[0] = merged(found[0], sequences([stream(w) for w in words], depth))
-            found[1] = merged(found[1], np.concatenate([known.of(w) for w in words] or [np.zeros(0, np.uint64)]).view(np.int64))
-            for kind in (0, 1):
-                if len(found[kind][0]) > GATHERED:
-                    yield rows(kind, found[kind])
-                    found[kind] = none
-        for kind in (0, 1):
-            yield rows(kind, found[kind])
+            learnt = [bool(remainder(i, by)) for i in part["doc_id"]]
+            words = [words_of(t, lower=True) for t in part["text"]]
+            train = [w for w, yes in zip(words, learnt) if yes]
+            ends += len(train)
+            found[0] = merged(found[0], sequences([stream(w) for w in train], depth))
+            found[1] = merged(found[1], np.concatenate([known.of(w) for w in train] or [np.zeros(0, np.uint64)]).view(np.int64))
+            found[2] = merged(found[2], sequences([stream(w) for w, yes in zip(words, learnt) if not yes], depth))
+            for i, (kind, own) in enumerate(kinds):
+                if len(found[i][0]) > GATHERED:
+                    yield rows(kind, found[i], own)
+                    found[i] = none
+        for i, (kind, own) in enumerate(kinds):
+            yield rows(kind, found[i], own)
         yield rows(2, (np.zeros(1, np.int64), np.array([ends])))
 
-    return docs.select("doc_id", "text").mapInArrow(run, "kind byte, key long, n long")
+    return docs.select("doc_id", "text").mapInArrow(run, "kind byte, key long, n long, learnt long")
 
 
 def _log_gamma(x: Column) -> Column:
@@ -99,6 +107,7 @@ def tree_levels(counted: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
 
     pw is the logarithm of the weighted probability of all the node's decisions, stop the weight that
     the node's own estimate has against the nodes one byte longer; the longest contexts always stop.
+    Sequences counted 0 times get nodes that change no other node's weight.
     """
     byte = F.col("key").bitwiseAND(255)
     steps = F.array(*[
@@ -125,8 +134,49 @@ def tree_levels(counted: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
     return levels
 
 
+def sequence_scores(levels: list[DataFrame], seqs: DataFrame) -> DataFrame:
+    """`seqs` (key, n) with ln, the logarithm of P(last byte | bytes before); every sequence must have gone into `levels`.
+
+    From the shortest contexts on, each node takes over from the node above what is mixed so far and the
+    weight that is left. A node counted 0 times has the probability of the node above.
+    """
+    one = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
+    seen = F.col("n0") + F.col("n1") > 0
+    above = None
+    for d, level in enumerate(levels):
+        if above is None:
+            level = level.withColumns({"up_p": F.lit(0.5), "up_mixed": F.lit(0.0), "up_rest": F.lit(1.0)})
+        else:
+            up = above.select(F.col("context").alias("up"), "node", *[F.col(c).alias(f"up_{c}") for c in ("p", "mixed", "rest")])
+            level = level.withColumn("up", F.col("context").bitwiseAND((1 << 8 * (d - 1)) - 1)).join(up, ["up", "node"])
+        mixed_, rest = F.col("up_mixed") + F.col("up_rest") * F.col("stop") * one, F.col("up_rest") * (1 - F.col("stop"))
+        above = level.select(
+            "context", "node", F.when(seen, mixed_ + rest * one).otherwise(F.col("up_p")).alias("p"),
+            F.when(seen, mixed_).otherwise(F.col("up_mixed")).alias("mixed"), F.when(seen, rest).otherwise(F.col("up_rest")).alias("rest"))
+    # At most 255 nodes and 256 bytes for a context.
+    nodes = above.groupBy("context").agg(F.map_from_entries(F.collect_list(F.struct("node", "p"))).alias("nodes"))
+    held = seqs.groupBy(F.shiftright("key", 8).alias("context")).agg(F.collect_list(F.struct("key", "n")).alias("own"))
+    byte, ln = F.col("key").bitwiseAND(255), F.lit(0.0)
+    for j in range(8):
+        p = F.element_at("nodes", (F.lit(1 << j) + F.shiftright(byte, 8 - j)).cast("int"))
+        ln = ln + F.log(F.when(F.shiftright(byte, 7 - j).bitwiseAND(1) == 1, p).otherwise(1 - p))
+    return held.join(nodes, "context").select("nodes", F.inline("own")).select("key", "n", ln.alias("ln"))
+
+
+def commonest(scores: DataFrame, most: int) -> DataFrame:
+    """The rows of `scores` with the largest n, down to a size that leaves at most `most` of them."""
+    size = F.floor(F.log2("n") * 8)
+    least, total = math.inf, 0
+    for r in sorted(scores.groupBy(size.alias("size")).count().collect(), key=lambda r: -r["size"]):  # at most 8 x 63 rows
+        total += r["count"]
+        if total > most:
+            break
+        least = r["size"]
+    return scores.filter(size >= F.lit(float(least)))
+
+
 class ContextTrees:
-    """The trees' nodes as sorted arrays per context length, and the code length of byte sequences."""
+    """All nodes of small trees as sorted arrays per context length, and the code length of byte sequences: the plain form of `sequence_scores`."""
 
     def __init__(self, levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
         self.levels = []
@@ -156,26 +206,29 @@ class ContextTrees:
 
 
 class SequenceScores:
-    """ln probabilities of byte sequences, remembered in a table of fixed size."""
+    """ln probabilities of the commonest byte sequences: a table of fixed size, behind it a sorted list for keys that share a slot."""
 
-    def __init__(self, trees: ContextTrees, slots: int = SLOTS):
-        self.trees, self.mask = trees, np.uint64(slots - 1)
+    def __init__(self, keys: np.ndarray, values: np.ndarray, slots: int = SLOTS):
+        order = np.argsort(keys)
+        self.sorted, self.ln, self.mask = keys[order], values[order], np.uint64(slots - 1)
         self.keys, self.values = np.full(slots, -1, np.int64), np.zeros(slots)
+        slot = (mixed(self.sorted.view(np.uint64)) & self.mask).astype(np.int64)
+        slot, first = np.unique(slot, return_index=True)
+        self.keys[slot], self.values[slot] = self.sorted[first], self.ln[first]
 
-    def of(self, seq: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(seq))
+    def of(self, seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sequences' values, 0 for those not among the commonest, and the places of these."""
+        out, missing = np.zeros(len(seq)), []
         for start in range(0, len(seq), 1 << 20):
             some = seq[start : start + (1 << 20)]
             slot = (mixed(some.view(np.uint64)) & self.mask).astype(np.int64)
             value, wrong = self.values[slot], np.flatnonzero(self.keys[slot] != some)
-            if len(wrong):
-                new, back = np.unique(some[wrong], return_inverse=True)
-                found = self.trees.log_probability(new)
-                value[wrong] = found[back]
-                place = (mixed(new.view(np.uint64)) & self.mask).astype(np.int64)
-                self.keys[place], self.values[place] = new, found
+            at = np.minimum(np.searchsorted(self.sorted, some[wrong]), max(len(self.sorted) - 1, 0))
+            hit = self.sorted[at] == some[wrong] if len(self.sorted) else np.zeros(len(wrong), bool)
+            value[wrong] = np.where(hit, self.ln[at], 0.0) if len(self.sorted) else 0.0
             out[start : start + len(some)] = value
-        return out
+            missing.append(start + wrong[~hit])
+        return out, np.concatenate(missing or [np.zeros(0, np.int64)])
 
 
 def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -192,39 +245,34 @@ def score_documents(docs: DataFrame, by: int = 10, depth: int = DEPTH) -> DataFr
     probabilities. Repeated rows are learnt from and scored as often as they come. With nothing to
     learn from, every decision has one half and the base is one token in one.
 
-    The driver holds the tree nodes and words above fixed shares of the corpus, so a bounded number;
-    words below are looked up by a join.
+    The driver holds the commonest byte sequences and words, a bounded number of each; all others are
+    looked up by a join.
     """
     spark = docs.sparkSession
-    counted = staged(_counts(docs, by, depth).groupBy("kind", "key").agg(F.sum("n").alias("n")))
+    counted = staged(_counts(docs, by, depth).groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("learnt").alias("learnt")))
     words = counted.filter("kind = 1").select("key", "n")
     totals = counted.agg(
         F.coalesce(F.sum(F.when(F.col("kind") > 0, F.col("n"))), F.lit(0)).alias("tokens"),
         F.coalesce(F.sum((F.col("kind") == 1).cast("long")), F.lit(0)).alias("words"),
-        F.coalesce(F.sum(F.when(F.col("kind") == 0, F.col("n"))), F.lit(0)).alias("bytes"),
         F.coalesce(F.sum(F.when(F.col("kind") == 2, F.col("n"))), F.lit(0)).alias("ends"),
     ).head()
     distinct = totals["words"] + (1 if totals["ends"] else 0)
     norm = totals["tokens"] + 0.1 * (distinct + 1)
 
-    nodes = []
-    for d, level in enumerate(tree_levels(counted.filter("kind = 0"), depth)):
-        kept = level if d == 0 else level.filter(F.col("n0") + F.col("n1") >= max(1, totals["bytes"] * NODE_SHARE))
-        found = kept.select(
-            (F.shiftleft("context", 8) + F.col("node")).alias("key"), ((F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)).alias("one"), "stop"
-        ).toArrow()
-        nodes.append((found["key"].to_numpy(), found["one"].to_numpy().astype(np.float32), found["stop"].to_numpy().astype(np.float32)))
+    seqs = counted.filter("kind = 0").select("key", "n", "learnt")
+    sequence = staged(sequence_scores(tree_levels(seqs.select("key", F.col("learnt").alias("n")), depth), seqs.select("key", "n")))
+    top = commonest(sequence, COMMON).select("key", "ln").toArrow()
     common = words.filter(F.col("n") >= max(1, totals["tokens"] * WORD_SHARE)).orderBy("key").toArrow()
-    shared = spark.sparkContext.broadcast((nodes, common["key"].to_numpy(), common["n"].to_numpy()))
+    shared = spark.sparkContext.broadcast((top["key"].to_numpy(), top["ln"].to_numpy(), common["key"].to_numpy(), common["n"].to_numpy()))
     ends = totals["ends"]
 
-    names = ("row", "doc_id", "n_tokens", "n_known", "base", "score", "word")
+    # A row for each text, for each of its rarer words, and for each of its distinct rarer byte sequences with the times it comes.
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
-                        ("score", pa.float64()), ("word", pa.int64())])
+                        ("score", pa.float64()), ("word", pa.int64()), ("seq", pa.int64()), ("times", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees, keys, counts = shared.value
-        scores, known = SequenceScores(ContextTrees(trees)), WordHashes()
+        *best, keys, counts = shared.value
+        scores, known = SequenceScores(*best), WordHashes()
         logs, end = np.log10((counts + 0.1) / norm), math.log10((ends + 0.1) / norm)
         row = TaskContext.get().partitionId() << 33
         for part in parts(batches):
@@ -236,34 +284,46 @@ def score_documents(docs: DataFrame, by: int = 10, depth: int = DEPTH) -> DataFr
             base = _sums(np.where(hit, logs[at] if len(keys) else 0.0, 0.0), sizes) + end
             n_known = _sums(hit.astype(np.float64), sizes).round().astype(np.int64) + (ends > 0)
             streams = [stream(w) for w in words]
-            score = _sums(scores.of(sequences(streams, depth)), np.array([len(s) for s in streams], np.int64)) / math.log(10)
+            lengths = np.array([len(s) for s in streams], np.int64)
+            seq = sequences(streams, depth)
+            ln, missing = scores.of(seq)
+            score = _sums(ln, lengths) / math.log(10)
             rows = row + np.arange(len(words))
             row += len(words)
             rare = np.flatnonzero(~hit)
-            none = np.zeros(len(rare), bool)
+            held, seq = np.repeat(rows, lengths)[missing], seq[missing]
+            order = np.lexsort((seq, held))
+            held, seq = held[order], seq[order]
+            first = np.flatnonzero(np.append(True, (np.diff(held) != 0) | (np.diff(seq) != 0))[: len(seq)])
             values = {
-                "row": (rows, np.repeat(rows, sizes)[rare]), "n_tokens": (sizes + 1, none), "n_known": (n_known, none),
-                "base": (base, none), "score": (score, none), "word": (np.zeros(len(rows), np.int64), h[rare]),
+                "row": (rows, np.repeat(rows, sizes)[rare], held[first]), "n_tokens": (sizes + 1, None, None), "n_known": (n_known, None, None),
+                "base": (base, None, None), "score": (score, None, None), "word": (None, h[rare], None), "seq": (None, None, seq[first]),
+                "times": (None, None, np.diff(np.append(first, len(seq)))),
             }
-            own = np.arange(len(rows) + len(rare)) < len(rows)
+            amounts = (len(rows), len(rare), len(first))
             arrays = []
             for field in schema:
                 if field.name == "doc_id":
-                    arrays.append(pa.array(part["doc_id"] + [None] * len(rare), pa.int64()))
+                    arrays.append(pa.array(part["doc_id"] + [None] * (len(rare) + len(first)), pa.int64()))
                     continue
-                first, second = values[field.name]
-                mask = None if field.name == "row" else own if field.name == "word" else ~own
-                arrays.append(pa.array(np.concatenate([first, second]), field.type, mask=mask))
+                mask = np.repeat([v is None for v in values[field.name]], amounts)
+                arrays.append(pa.array(np.concatenate([np.zeros(n, np.int64) if v is None else v for v, n in zip(values[field.name], amounts)]), field.type, mask=mask))
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    scored = staged(docs.select("doc_id", "text").mapInArrow(run, ", ".join(f"{n} {'double' if n in ('base', 'score') else 'long'}" for n in names)))
+    kind = ", ".join(f"{f.name} {'double' if f.name in ('base', 'score') else 'long'}" for f in schema)
+    scored = staged(docs.select("doc_id", "text").mapInArrow(run, kind))
     seen = F.coalesce("n", F.lit(0))
     rare = (
         scored.filter("word is not null").select("row", F.col("word").alias("key")).join(words, "key", "left")
         .groupBy("row").agg(F.sum(F.log10((seen + 0.1) / norm)).alias("rare"), F.sum((seen > 0).cast("long")).alias("rare_known"))
     )
-    return scored.filter("word is null").join(rare, "row", "left").select(
+    joined = (
+        scored.filter("seq is not null").select("row", F.col("seq").alias("key"), "times").join(sequence.select("key", "ln"), "key")
+        .groupBy("row").agg((F.sum(F.col("times") * F.col("ln")) / math.log(10)).alias("joined"))
+    )
+    return scored.filter("word is null and seq is null").join(rare, "row", "left").join(joined, "row", "left").select(
         "doc_id", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % by == 0).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(totals["tokens"]).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare", F.lit(0.0))).alias("base_score"), "score",
+        (F.col("base") + F.coalesce("rare", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("joined", F.lit(0.0))).alias("score"),
     )
