@@ -180,6 +180,20 @@ def test_toxicity(spark):
     assert toxicity.score_toxicity(docs.limit(0), truth, F.lit(True)).count() == 0
 
 
+def test_every_byte_of_a_long_word_counts():
+    net = toxicity.fit([[b"vile", b"calm"], [b"calm"]] * 8, [1, 0] * 8)
+    rng = random.Random(4)
+    for word in ["x" * 17, "a-b/" * 300, "\u4f60\u597d\u4e16\u754c" * 50, "n\u00efve_\U0001f389" * 20, "d\u00e9\u65e5" * 7, "y" * 16]:
+        raw = word.encode()
+        parts = toxicity.plain([raw])
+        found = {p[i : i + 3] for p in parts for i in range(len(p) - 2)}
+        assert found >= {raw[i : i + 3] for i in range(len(raw) - 2)} and all(p.decode() and len(p) <= toxicity.PER_WORD for p in parts)
+        assert all(np.count_nonzero(toxicity.trigrams(p)) == len(p) for p in parts)
+    start = "\u4f60\u597d\u4e16\u754c\u4f60\u597d\u4e16\u754c".encode()
+    texts = [toxicity.plain([start + "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(9)).encode()]) for _ in range(5)]
+    assert len(set(toxicity.Scorer(net).score(texts).tolist())) == 5
+
+
 def test_words_of_splits_at_six_characters_only():
     assert words_of("a\x1cb\x85c\u00a0d e\tf\x0bg", lower=True) == ["a\x1cb\x85c\u00a0d".encode(), b"e", b"f", b"g"]
     assert words_of("ÀB", lower=True) == ["Àb".encode()]

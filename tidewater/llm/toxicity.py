@@ -1,7 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling over word and character inputs.
 
 A word enters as its own vector, which begins with the word's smoothed log-odds, beside the mean vector
-of its character trigrams. The network reads windows of words that overlap by half; a document's score is that of its worst window. Training and
+of its character trigrams. A long word enters as overlapping pieces, each like a word. The network reads windows of words that overlap by half; a document's score is that of its worst window. Training and
 scoring are numpy: the driver fits on a bounded sample of labelled rows, tasks score whole texts.
 """
 
@@ -34,13 +34,35 @@ DECAY = 0.1
 _EDGE = b".,;:!?\"'()[]{}*#$%&|<>-_~"
 
 
+def pieces(word: bytes) -> list[bytes]:
+    """The UTF-8 word, or if it has more trigrams than one input holds, pieces cut between characters.
+
+    Neighbours share at least two bytes, so every trigram of the word lies in a piece.
+    """
+    out, start = [], 0
+    while len(word) - start > PER_WORD:
+        end = start + PER_WORD
+        while word[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(word[start:end])
+        start = end - 2
+        while word[start] & 0xC0 == 0x80:
+            start -= 1
+    return [*out, word[start:]]
+
+
 def plain(words: list[bytes]) -> list[bytes]:
-    """Words without marks at their ends; a word of marks alone stays as it is."""
-    return [w.strip(_EDGE) or w for w in words]
+    """Words without marks at their ends, long ones in pieces; a word of marks alone keeps them."""
+    bare = [w.strip(_EDGE) or w for w in words]
+    if all(len(w) <= PER_WORD for w in bare):
+        return bare
+    return [p for w in bare for p in pieces(w)]
 
 
 def trigrams(word: bytes) -> list[int]:
-    """Buckets of the word's character trigrams, its borders included; of long words the first ones and their number's worth."""
+    """Buckets of the trigrams of a word or piece of at most PER_WORD bytes, its borders included."""
+    if len(word) > PER_WORD:
+        raise ValueError(f"{len(word)} bytes have to be cut into pieces first")
     marked = b"^" + word + b"$"
     found = [zlib.crc32(marked[i : i + 3]) % (TRIGRAMS - 1) + 1 for i in range(max(1, len(marked) - 2))]
     return (found + [0] * PER_WORD)[:PER_WORD]
