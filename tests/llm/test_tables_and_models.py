@@ -180,6 +180,14 @@ def test_toxicity(spark):
     assert toxicity.score_toxicity(docs.limit(0), truth, F.lit(True)).count() == 0
 
 
+def test_fitting_sample_is_bounded_in_rows(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "one"), (2, "one"), (3, None)], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    found = toxicity.fitting_rows(docs, labels, F.lit(True), 10, 10)
+    assert len(found) == 2 and found[0][1] == 1 and found[1] == ("one", 0)
+    assert toxicity.fitting_rows(docs.repartition(2), labels, F.lit(True), 10, 10) == found
+
+
 def test_every_byte_of_a_long_word_counts():
     net = toxicity.fit([[b"vile", b"calm"], [b"calm"]] * 8, [1, 0] * 8)
     rng = random.Random(4)

@@ -313,13 +313,17 @@ class Scorer:
 
 
 def fitting_rows(docs: DataFrame, labels: DataFrame, usable: Column, toxic: int, clean: int) -> list[tuple[str, int]]:
-    """At most `toxic` and `clean` labelled texts, chosen by a hash of the id; of several labels of a document the highest counts."""
+    """At most `toxic` and `clean` labelled texts, chosen by a hash of the id; of several labels of a document the highest counts.
+
+    Of several texts of one id the one with the smallest hash is taken, before anything reaches the driver.
+    """
     truth = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & usable).groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     rows = []
     for label, most in ((1, toxic), (0, clean)):
         chosen = truth.filter(F.col("_toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-        rows += docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter("text is not null").select("doc_id", "text", "_toxic").collect()
-    return [(r["text"], r["_toxic"]) for r in sorted({(r["doc_id"], r["text"], r["_toxic"]): r for r in rows}.values(), key=lambda r: (r["doc_id"], r["text"]))]
+        own = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter("text is not null")
+        rows += own.groupBy("doc_id", "_toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).collect()
+    return [(r["text"], r["_toxic"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
 
 
 def score_toxicity(
