@@ -219,3 +219,34 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewater.llm.jaccard_join import link_documents
 
     return link_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op12_simhash")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.simhash import near_copies
+
+    return near_copies(table(spark, sf_dir, "documents"))
+
+
+def repeated_tail(doc_id: int | None, n: int):
+    """Of one document in ten, words from a place on that repeat the first p of them; a null id counts as the empty text."""
+    import zlib
+
+    import numpy as np
+
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % p)
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.periodic_runs import find_runs, with_digests
+
+    found = with_digests(find_runs(table(spark, sf_dir, "documents"), repeated_tail))
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
