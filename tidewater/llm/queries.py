@@ -250,3 +250,46 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = with_digests(find_runs(table(spark, sf_dir, "documents"), repeated_tail))
     return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+@query("op11_spelling_variants", r"""
+    WITH RECURSIVE tab AS (
+        SELECT list(c ORDER BY i) AS t FROM (
+            SELECT i, list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+            FROM range(256) r(i))),
+    runs AS (
+        SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+        FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+        WHERE length(run) >= 7 GROUP BY ALL),
+    hashed AS (
+        SELECT run, k, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(
+                   string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+                   lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END))),
+                   lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8))) AS h
+        FROM runs, tab),
+    changed AS (
+        SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, k
+        FROM hashed),
+    words AS (SELECT word, sum(k)::BIGINT AS n FROM changed WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+    holes AS (
+        SELECT word, n, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS hole, substr(word, 1, i - 1) || substr(word, i + 1) AS less
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    near AS (
+        SELECT a.word, b.word AS other, b.n FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+        UNION SELECT h.word, w.word, w.n FROM holes h JOIN words w ON w.word = h.less
+        UNION SELECT w.word, h.word, h.n FROM holes h JOIN words w ON w.word = h.less),
+    best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS n FROM near GROUP BY word),
+    formed AS (
+        SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN best.n >= 10 * words.n THEN other END AS form,
+               CASE WHEN best.n >= 10 * words.n THEN best.n END AS form_n
+        FROM words LEFT JOIN best USING (word)),
+    chain(word, root, step) AS (
+        SELECT word, word, 0 FROM formed
+        UNION ALL SELECT chain.word, formed.form, step + 1 FROM chain JOIN formed ON formed.word = chain.root WHERE formed.form IS NOT NULL),
+    roots AS (SELECT word, max_by(root, step) AS root FROM chain GROUP BY word)
+    SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+    """)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewater.llm.spelling import drop_one_letter, spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"), drop_one_letter)
