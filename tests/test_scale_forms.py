@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidewater.operators import ordering, ranges, stats, windows
+from tidewater.operators import ordering, ranges, selection, stats, windows
 from tidewater.operators.windows import Scan, scan_along
 
 
@@ -62,6 +62,28 @@ def test_quantiles_equal_pandas(spark, seed):
             assert list(grouped.loc[g]) == pytest.approx(list(part["v"].quantile(list(qs.values()))))
 
 
+@pytest.mark.parametrize("limits", [{}, {"accuracy": 100, "most": 400}, {"accuracy": 50, "most": 40, "fan": 24}, {"accuracy": 2000, "most": 12, "fan": 8}])
+def test_quantiles_do_not_depend_on_rounds(spark, limits, monkeypatch):
+    """One round or many: the same order statistics, for a hot value, a null key, small groups and an empty table."""
+    rounds = []
+    narrowed = selection._narrowed
+    monkeypatch.setattr(selection, "_narrowed", lambda *a: rounds.append(1) or narrowed(*a))
+    rng = np.random.default_rng(8)
+    n = 12_000
+    pdf = pd.DataFrame({"g": rng.choice(["x", "y", None], n, p=[0.9, 0.09, 0.01]), "v": np.where(rng.random(n) < 0.35, 3.25, rng.normal(10, 40, n).round(5))})
+    df = spark.createDataFrame(pdf)
+    qs = {"low": 0.013, "mid": 0.5} if limits.get("fan") != 8 else {"mid": 0.5}
+    got = selection.exact_quantiles(df, "v", qs, **limits).first()
+    assert list(got) == pytest.approx(list(pdf["v"].quantile(list(qs.values()))), abs=0, rel=1e-15)
+    grouped = {r["g"]: [r[q] for q in qs] for r in selection.exact_quantiles(df, "v", qs, by=["g"], **limits).collect()}
+    for g in ("x", "y", None):
+        part = pdf["v"][pdf["g"].isna() if g is None else pdf["g"] == g]
+        assert grouped[g] == pytest.approx(list(part.quantile(list(qs.values()))), abs=0, rel=1e-15)
+    assert (len(rounds) >= 2) if limits.get("most", 400) < 400 else (len(rounds) <= 4)
+    assert list(selection.exact_quantiles(df.limit(0), "v", qs).first()) == [None] * len(qs)
+    assert selection.exact_quantiles(df.limit(0), "v", qs, by=["g"]).count() == 0
+
+
 def test_interval_counts_equal_theta_join(spark):
     rng = random.Random(3)
     rows = []

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Sequence
 from statistics import NormalDist
 
 import numpy as np
@@ -13,75 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.numbers import missing
-
-
-def exact_quantiles(df: DataFrame, col: str, qs: Mapping[str, float], by: Sequence[str] = (),
-                    accuracy: int = 100_000) -> DataFrame:
-    """Exact quantiles with linear interpolation, one output column per entry of `qs`.
-
-    A sketch brackets each quantile within a known rank error; a second pass counts the rows
-    outside the brackets (combined on the map side) and keeps only the values inside. What reaches
-    the ordered step is a fixed small share of a group's rows, with equal values already merged.
-    """
-    keys = list(by)
-    src = df.select(*keys, missing(F.col(col)).alias("_v")).filter(F.col("_v").isNotNull())
-    names = sorted(qs, key=lambda n: qs[n])
-    margin = 4.0 / accuracy
-    probs = []
-    for n in names:
-        probs += [max(0.0, qs[n] - margin), min(1.0, qs[n] + margin)]
-    brackets = src.groupBy(*[F.col(k).alias(f"_b_{k}") for k in keys]).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
-        F.percentile_approx("_v", probs, accuracy).alias("_br"))
-    if keys:
-        on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys])
-        tagged = src.join(brackets, on)
-    else:
-        one = brackets.agg(F.first(F.struct("_n", "_lo", "_hi", "_br")).alias("s"))
-        tagged = src.withColumn("_s", one.scalar()).select("_v", "_s.*")
-
-    def edge(i: int, side: int) -> Column:
-        # The outermost ranks are bracketed by the true extremes.
-        p = probs[2 * i + side]
-        if p <= 0.0:
-            return F.col("_lo")
-        return F.col("_hi") if p >= 1.0 else F.get("_br", F.lit(2 * i + side))
-
-    inside = reduce(lambda a, b: a | b, [F.col("_v").between(edge(i, 0), edge(i, 1)) for i in range(len(names))])
-    gap = reduce(lambda a, b: a + b, [(F.col("_v") > edge(i, 1)).cast("int") for i in range(len(names))])
-    cells = tagged.groupBy(*keys, gap.alias("_gap"), F.when(inside, F.col("_v")).alias("_in")).agg(
-        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_rep"), F.max("_v").alias("_top"), F.first("_n").alias("_n"))
-    return _pick(cells, qs, keys)
-
-
-def _pick(cells: DataFrame, qs: Mapping[str, float], keys: Sequence[str]) -> DataFrame:
-    """Quantiles from ordered cells: `_c` rows between `_rep` and `_top`, of `_n` in the group."""
-    w = Window.partitionBy(*keys).orderBy("_rep").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = cells.withColumn("_cum", F.sum("_c").over(w))
-    first, last = F.col("_cum") - F.col("_c"), F.col("_cum") - 1
-
-    def at(rank: Column) -> Column:
-        # In a small group a bracket can miss the wanted rank by one; then it is the end of the
-        # neighbouring cell, whose smallest and largest value are known.
-        return F.max(F.when(rank == last, F.col("_top")).when((rank >= first) & (rank < last), F.col("_rep")))
-
-    out = []
-    for name, q in qs.items():
-        pos = (F.col("_n").cast("double") - 1.0) * q
-        k = F.floor(pos).cast("long")
-        low, high = at(k), at(F.least(k + 1, F.col("_n") - 1))
-        out.append((low + (high - low) * F.max(pos - k)).alias(name))
-    return ranked.groupBy(*keys).agg(*out)
-
-
-def quantile_numbers(df: DataFrame, col: str, qs: Mapping[str, float]) -> dict[str, float | None]:
-    """Exact quantiles as numbers on the driver (thresholds): two passes, whatever the number of values.
-
-    The first pass takes count, extremes and a sketch. The second counts the values below each bracket
-    and keeps the distinct ones inside, with their counts; only those are ordered.
-    """
-    row = exact_quantiles(df, col, qs).first()
-    return {n: row[n] if row is not None else None for n in qs}
+from tidewater.operators.selection import exact_quantiles, quantile_numbers  # noqa: F401
 
 
 def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:
