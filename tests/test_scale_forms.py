@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import ordering, ranges, selection, stats, windows
 from tidewater.operators.windows import Scan, scan_along
+from tidewater.staging import frames_along
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +40,27 @@ def test_scans_equal_windows(skewed, keys):
     assert got.exceptAll(want).count() == 0 and got.count() == want.count()
 
 
+@pytest.mark.parametrize("keys", [[], ["k"]])
+@pytest.mark.parametrize("partitions", [3, 60, 1000])
+def test_sliding_frames_equal_windows(skewed, keys, partitions):
+    """Halos from as many slices as it takes: in the last case most slices are shorter than the frame."""
+    order = [F.col("v").desc(), F.col("id").asc()]
+    small = skewed if partitions < 1000 else skewed.filter("id % 40 = 0")
+    frames = {
+        "mean": lambda w: F.avg("v").over(w.rowsBetween(-6, 0)), "n": lambda w: F.count(F.lit(1)).over(w.rowsBetween(-6, 3)),
+        "gone": lambda w: F.lag("gap", 5, -1).over(w), "next": lambda w: F.lead("id", 3).over(w), "list": lambda w: F.collect_list("id").over(w.rowsBetween(-2, 2))}
+    got = frames_along(small, order, frames, 6, 3, keys, partitions=partitions if partitions < 1000 else 90)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    want = small.select("*", *[f(w).alias(o) for o, f in frames.items()])
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_sliding_frames_have_no_one_task_window(skewed):
+    got = frames_along(skewed, [F.col("id")], {"m": lambda w: F.avg("v").over(w.rowsBetween(-4, 0))}, 4)
+    assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+    assert frames_along(skewed.limit(0), [F.col("id")], {"m": lambda w: F.avg("v").over(w.rowsBetween(-4, 0))}, 4).count() == 0
+
+
 def test_row_number_is_dense(skewed):
     got = windows.global_row_number(skewed, [F.col("v"), F.col("id")], "rn", partitions=9).toPandas()
     want = skewed.toPandas().sort_values(["v", "id"])["id"].tolist()
@@ -140,6 +162,6 @@ def test_gaussian_smooth_equals_direct(spark, n, chunk):
 
 def test_weighted_average_forms_agree(spark):
     df = spark.createDataFrame([(i, float(i * i % 17)) for i in range(40)], "d int, v double")
-    a = windows.weighted_ma(df, "d", "v", [5, 4, 3, 2, 1], "lag").toPandas().sort_values("d")["weighted_ma"]
-    b = windows.weighted_ma(df, "d", "v", [5, 4, 3, 2, 1], "array").toPandas().sort_values("d")["weighted_ma"]
+    a = windows.weighted_ma(df, ["d"], "v", [5, 4, 3, 2, 1], "lag").toPandas().sort_values("d")["weighted_ma"]
+    b = windows.weighted_ma(df, ["d"], "v", [5, 4, 3, 2, 1], "array").toPandas().sort_values("d")["weighted_ma"]
     assert np.allclose(a, b)

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
-from tidewater.staging import Scan, scan_along
+from tidewater.staging import Scan, frames_along, scan_along
 
 
 def global_running_sum(
@@ -59,38 +60,52 @@ def islands(df: DataFrame, date_col: str, unit: str = "month") -> DataFrame:
     return df.withColumn("_k", key).join(ids, F.col("_k") == F.col("_p"), "left").drop("_k", "_p")
 
 
-def moving_mean(df: DataFrame, order_by: str, value: Column, rows: int, out: str) -> DataFrame:
-    """Mean over the current and the previous rows; for calendar-sized inputs."""
-    w = Window.orderBy(order_by).rowsBetween(-(rows - 1), 0)
-    return df.withColumn(out, F.avg(value).over(w))
+def moving_mean(
+    df: DataFrame, order_by: Sequence[str], value: Column, rows: int, out: str,
+    partition_by: Sequence[str] = (), partitions: int | None = None,
+) -> DataFrame:
+    """Mean over the current and the previous rows of the key."""
+    reach = lambda w: w.rowsBetween(-(rows - 1), 0)
+    return frames_along(df, [F.col(c) for c in order_by], {out: lambda w: F.avg(value).over(reach(w))}, rows - 1, 0, partition_by, partitions)
+
+
+def frame_count(
+    df: DataFrame, order_by: Sequence[str], rows: int, out: str, partition_by: Sequence[str] = (), partitions: int | None = None,
+) -> DataFrame:
+    """How many rows the frame of the current and the previous rows has."""
+    reach = lambda w: w.rowsBetween(-(rows - 1), 0)
+    return frames_along(df, [F.col(c) for c in order_by], {out: lambda w: F.count(F.lit(1)).over(reach(w))}, rows - 1, 0, partition_by, partitions)
 
 
 def weighted_ma(
-    df: DataFrame, order_by: str, value: str, weights: Sequence[int], impl: str = "lag", out: str = "weighted_ma"
+    df: DataFrame, order_by: Sequence[str], value: str, weights: Sequence[int], impl: str = "lag", out: str = "weighted_ma",
+    partition_by: Sequence[str] = (), partitions: int | None = None,
 ) -> DataFrame:
-    """Weighted mean over the latest rows, weights[0] on the current one.
+    """Weighted mean over the latest rows of the key, weights[0] on the current one.
 
-    The denominator is the sum of the weights that have a row. Input: one row per period
-    (pre-aggregated), because the window is ordered over all of it.
+    The denominator is the sum of the weights that have a row. `impl` takes the earlier rows one by one ("lag")
+    or as an array ("array"); both see them through sliding frames of slices, so a series may be a whole fact table.
     """
-    if impl == "lag":
-        w = Window.orderBy(order_by)
+    back = len(weights) - 1
+
+    def by_lags(w: WindowSpec) -> Column:
         top = F.lit(0.0)
         for i, weight in enumerate(weights):
             top = top + (F.lag(value, i, 0.0).over(w) if i else F.col(value)) * weight
-        seen = F.count(F.lit(1)).over(w.rowsBetween(-(len(weights) - 1), 0)).cast("int")
-        denominators = [sum(weights[: i + 1]) for i in range(len(weights))]
-        return df.withColumn(out, top / F.get(F.array(*[F.lit(d) for d in denominators]), seen - 1))
-    if impl == "array":
-        w = Window.orderBy(order_by).rowsBetween(-(len(weights) - 1), 0)
-        recent = F.reverse(F.collect_list(F.col(value)).over(w))
-        facing = F.slice(F.array(*[F.lit(float(x)) for x in weights]), 1, F.size("_recent"))
-        pairs = F.zip_with("_recent", facing, lambda v, x: F.struct((v * x).alias("vx"), x.alias("x")))
-        summed = df.withColumn("_recent", recent).withColumn("_pairs", pairs)
-        top = F.aggregate("_pairs", F.lit(0.0), lambda acc, p: acc + p["vx"])
-        bottom = F.aggregate("_pairs", F.lit(0.0), lambda acc, p: acc + p["x"])
-        return summed.withColumn(out, top / bottom).drop("_recent", "_pairs")
-    raise ValueError("impl is 'lag' or 'array'")
+        seen = F.count(F.lit(1)).over(w.rowsBetween(-back, 0)).cast("int")
+        return top / F.get(F.array(*[F.lit(sum(weights[: i + 1])) for i in range(len(weights))]), seen - 1)
+
+    if impl not in ("lag", "array"):
+        raise ValueError("impl is 'lag' or 'array'")
+    order = [F.col(c) for c in order_by]
+    if impl == "lag":
+        return frames_along(df, order, {out: by_lags}, back, 0, partition_by, partitions)
+    recent = frames_along(df, order, {"_recent": lambda w: F.reverse(F.collect_list(F.col(value)).over(w.rowsBetween(-back, 0)))}, back, 0, partition_by, partitions)
+    facing = F.slice(F.array(*[F.lit(float(x)) for x in weights]), 1, F.size("_recent"))
+    pairs = F.zip_with("_recent", facing, lambda v, x: F.struct((v * x).alias("vx"), x.alias("x")))
+    top = F.aggregate("_pairs", F.lit(0.0), lambda acc, p: acc + p["vx"])
+    bottom = F.aggregate("_pairs", F.lit(0.0), lambda acc, p: acc + p["x"])
+    return recent.withColumn("_pairs", pairs).withColumn(out, top / bottom).drop("_recent", "_pairs")
 
 
 def with_group_value(df: DataFrame, keys: Sequence[str], bounded: bool = False, **aggs: Column) -> DataFrame:

@@ -449,8 +449,8 @@ def _daily(t: Tables) -> DataFrame:
 
 
 def _averages(t: Tables, impl: str) -> DataFrame:
-    with_mean = windows.moving_mean(_daily(t), "dt", F.col("amt"), 5, "ma")
-    both = windows.weighted_ma(with_mean, "dt", "amt", [5, 4, 3, 2, 1], impl, "wma")
+    with_mean = windows.moving_mean(_daily(t), ["dt"], F.col("amt"), 5, "ma")
+    both = windows.weighted_ma(with_mean, ["dt"], "amt", [5, 4, 3, 2, 1], impl, "wma")
     return both.select("dt", F.round("ma", 4).alias("ma_5_days"), F.round("wma", 4).alias("weighted_ma_5_days")).orderBy("dt")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater import staging
 from tidewater.functions.numbers import exact_sum, money
 from tidewater.operators import ordering, windows
 from tidewater.operators.windows import Scan, scan_along
@@ -87,7 +88,7 @@ def running_sum_per_key(t: Tables) -> DataFrame:
 """)
 def moving_average(t: Tables) -> DataFrame:
     d = t.lineitem.groupBy(F.to_date("l_shipdate").alias("dt")).agg(exact_sum("l_extendedprice").alias("amt"))
-    return windows.moving_mean(d, "dt", F.col("amt"), 5, "ma").select("dt", F.round("ma", 3).alias("ma"))
+    return windows.moving_mean(d, ["dt"], F.col("amt"), 5, "ma").select("dt", F.round("ma", 3).alias("ma"))
 
 
 _WMA = """
@@ -100,7 +101,7 @@ _WMA = """
 
 def _wma(t: Tables, impl: str) -> DataFrame:
     d = t.lineitem.groupBy(F.to_date("l_shipdate").alias("dt")).agg(exact_sum("l_extendedprice").alias("amt"))
-    return windows.weighted_ma(d, "dt", "amt", [5, 4, 3, 2, 1], impl, "wma").select("dt", F.round("wma", 3).alias("wma"))
+    return windows.weighted_ma(d, ["dt"], "amt", [5, 4, 3, 2, 1], impl, "wma").select("dt", F.round("wma", 3).alias("wma"))
 
 
 @job("wn08_weighted_average_lags", _WMA)
@@ -118,7 +119,39 @@ def weighted_arrays(t: Tables) -> DataFrame:
 """)
 def frame_count(t: Tables) -> DataFrame:
     d = t.events.select(F.to_date("ts").alias("dt")).distinct()
-    return d.select("dt", F.count(F.lit(1)).over(Window.orderBy("dt").rowsBetween(-4, 0)).alias("n"))
+    return windows.frame_count(d, ["dt"], 5, "n")
+
+
+# The lines of the whole table as one series, and one series per supplier.
+@job("wn07_moving_average_of_lines", f"""
+    SELECT l_orderkey, l_linenumber,
+           round(avg(CAST(l_extendedprice AS DECIMAL(18,2))) OVER (ORDER BY {_LINE} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 3) AS ma,
+           count(*) OVER (ORDER BY {_LINE} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS n FROM lineitem
+""")
+def moving_average_of_lines(t: Tables) -> DataFrame:
+    lines = _lines(t).withColumn("price", money("l_extendedprice"))
+    order = [F.col(c) for c in _LINE_COLS]
+    got = staging.frames_along(lines, order, {
+        "top": lambda w: F.sum("price").over(w.rowsBetween(-4, 0)), "n": lambda w: F.count(F.lit(1)).over(w.rowsBetween(-4, 0))}, before=4)
+    return got.select("l_orderkey", "l_linenumber", F.round(F.col("top").cast("double") / F.col("n"), 3).alias("ma"), "n")
+
+
+@job("wn08_weighted_average_per_supplier", f"""
+    WITH w AS (SELECT l_orderkey, l_linenumber, l_extendedprice * 5 + lag(l_extendedprice, 1, 0) OVER o * 4 + lag(l_extendedprice, 2, 0) OVER o * 3
+                      + lag(l_extendedprice, 3, 0) OVER o * 2 + lag(l_extendedprice, 4, 0) OVER o AS top, row_number() OVER o AS n
+               FROM lineitem WINDOW o AS (PARTITION BY l_suppkey ORDER BY {_LINE}))
+    SELECT l_orderkey, l_linenumber, round(top / CASE n WHEN 1 THEN 5 WHEN 2 THEN 9 WHEN 3 THEN 12 WHEN 4 THEN 14 ELSE 15 END, 3) AS wma FROM w
+""")
+def weighted_average_per_supplier(t: Tables) -> DataFrame:
+    got = windows.weighted_ma(_lines(t), _LINE_COLS, "l_extendedprice", [5, 4, 3, 2, 1], out="wma", partition_by=["l_suppkey"])
+    return got.select("l_orderkey", "l_linenumber", F.round("wma", 3).alias("wma"))
+
+
+@job("wn10_frame_count_per_user", """
+    SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS n FROM events
+""")
+def frame_count_per_user(t: Tables) -> DataFrame:
+    return windows.frame_count(t.events.select("event_id", "user_id", "ts"), ["ts", "event_id"], 7, "n", ["user_id"]).select("event_id", "n")
 
 
 @job("wn11_group_values_beside_rows", """

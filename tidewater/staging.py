@@ -8,11 +8,12 @@ each slice is scanned on its own, and one small row per slice carries the state
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tidewater.session import shared_dir
 
@@ -153,3 +154,42 @@ def scan_along(
         *[F.col(c) for c in df.columns],
         *[_merge(s, F.col(f"_l_{o}"), F.col(f"_c_{o}")).alias(o) for o, s in scans.items()],
     )
+
+
+def frames_along(
+    df: DataFrame,
+    order_by: Sequence[Column],
+    frames: Mapping[str, Callable[[WindowSpec], Column]],
+    before: int,
+    after: int = 0,
+    partition_by: Sequence[str] = (),
+    partitions: int | None = None,
+) -> DataFrame:
+    """Columns over sliding frames that reach `before` rows back and `after` rows on, without a one-task window.
+
+    Each function gets the ordered window (without a frame) and returns a column that looks no further than
+    that. The rows are sorted into slices; every slice is joined by copies of the rows just before and after
+    it, from as many slices as that takes, so its own rows see whole frames. At most before + after rows of each
+    slice are copied. `order_by` should be total; frames start anew per `partition_by`.
+    """
+    keys = list(partition_by)
+    staged = stage_sorted(df, [F.col(k).asc() for k in keys] + list(order_by), partitions)
+    # One small row per slice that has rows: the rows before it, its size, and the slices that its edges can reach.
+    sizes = [(r[SLICE], r["n"]) for r in staged.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n")).orderBy(SLICE).collect()]
+    starts = [0]
+    for _, n in sizes:
+        starts.append(starts[-1] + n)
+    near = lambda places: [(sizes[j][0], starts[j], starts[j + 1]) for j in places]
+    layout = [(slice_, starts[i], n, near(range(i + 1, min(i + 1 + before, len(sizes)))), near(range(max(0, i - after), i)))
+              for i, (slice_, n) in enumerate(sizes)]
+    spans = "array<struct<s: int, first: long, end: long>>"
+    table = df.sparkSession.createDataFrame(layout, f"{SLICE} int, _start long, _n long, _next {spans}, _previous {spans}")
+    placed = staged.join(F.broadcast(table), SLICE).withColumn("_row", F.col("_start") + F.col(POS))
+    tail = placed.filter(F.col(POS) >= F.col("_n") - before).withColumn("_to", F.filter("_next", lambda x: x["first"] <= F.col("_row") + before))
+    head = placed.filter(F.col(POS) < after).withColumn("_to", F.filter("_previous", lambda x: x["end"] > F.col("_row") - after))
+    halos = [h for h, wanted in ((tail, before), (head, after)) if wanted]
+    own = placed.select(*df.columns, SLICE, "_row", F.lit(True).alias("_own"))
+    for halo in halos:
+        own = own.union(halo.select(*df.columns, F.explode("_to.s").alias(SLICE), "_row", F.lit(False).alias("_own")))
+    w = Window.partitionBy(SLICE, *keys).orderBy("_row")
+    return own.select(*df.columns, *[f(w).alias(o) for o, f in frames.items()], "_own").filter("_own").drop("_own")
