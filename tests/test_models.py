@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from tidewater.operators import features, matrix, models, signal, stats
+from tidewater.operators import features, matrix, models, neighbours, signal, stats
 
 
 def _frame(spark, ids, xs, ys):
@@ -13,14 +15,14 @@ def _frame(spark, ids, xs, ys):
 
 
 @pytest.mark.parametrize("metric", ["euclid", "manhattan"])
-@pytest.mark.parametrize("block,pivots", [(20_000, 8), (25, 4), (7, 1)])
-def test_neighbours_equal_brute_force(spark, metric, block, pivots):
+@pytest.mark.parametrize("leaf,fan,block", [(4_096, 64, 20_000), (60, 8, 25), (7, 3, 20_000)])
+def test_neighbours_equal_brute_force(spark, metric, leaf, fan, block):
     rng = np.random.default_rng(4)
     train = np.vstack([rng.normal(0, 0.01, (120, 3)), rng.normal(0, 5, (150, 3)), np.zeros((30, 3))])
     queries = np.vstack([rng.normal(0, 5, (20, 3)), np.zeros((10, 3)), rng.normal(0, 0.01, (25, 3))])
     labels = rng.integers(0, 3, len(train))
-    got = models.neighbours(_frame(spark, range(len(train)), train, labels), _frame(spark, range(len(queries)), queries, [0] * len(queries)),
-                            "x", "y", "id", 5, metric, pivots, block).collect()
+    got = neighbours.neighbours(_frame(spark, range(len(train)), train, labels), _frame(spark, range(len(queries)), queries, [0] * len(queries)),
+                            "x", "y", "id", 5, metric, leaf, fan, block).collect()
     found = {}
     for r in got:
         found.setdefault(r["id"], {})[r["rank"]] = (r["neighbour"], r["distance"])
@@ -31,6 +33,28 @@ def test_neighbours_equal_brute_force(spark, metric, block, pivots):
         assert [found[i][k + 1][0] for k in range(5)] == list(order)
 
 
+def test_queries_visit_few_rows_of_a_clustered_table(spark):
+    """Rows compared per query grow far slower than the table."""
+    rng = np.random.default_rng(6)
+    shares = []
+    for n in (4_000, 16_000):
+        centers = rng.normal(0, 50, (n // 100, 4))
+        x = centers[rng.integers(0, len(centers), n)] + rng.normal(0, 1, (n, 4))
+        rows = spark.createDataFrame(pd.DataFrame({"id": np.arange(n), "y": 0, "x": list(x)}), "id long, y int, x array<double>")
+        q = rows.filter("id % 80 = 0").select("id", "x")
+        placed, cells = neighbours.visits(rows, q, 5, "euclid", 128, 16, 2_000)
+        sizes = cells.groupBy("cell").count()
+        compared = placed.join(sizes, "cell").agg(F.sum("count")).head()[0]
+        shares.append(compared / q.count() / n)
+        assert cells.count() == n
+    assert shares[0] < 0.15 and shares[1] < 0.5 * shares[0]
+
+
+def test_no_neighbour_without_rows(spark):
+    none = _frame(spark, [], [], [])
+    assert neighbours.neighbours(none, none, "x", "y", "id", 3).count() == 0
+
+
 def test_fewer_training_rows_than_k(spark):
     train = _frame(spark, [1, 2], [[0, 0], [1, 1]], [0, 1])
     got = models.knn(train, _frame(spark, [9], [[0, 0.1]], [0]), "x", "y", "id", 15).collect()

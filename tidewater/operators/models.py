@@ -2,114 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.staging import stage
-
-
-def _distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
-    """Row-by-row distances of two blocks."""
-    out = np.empty((len(a), len(b)))
-    for i, row in enumerate(a):
-        gap = b - row
-        out[i] = np.sqrt((gap * gap).sum(axis=1)) if metric == "euclid" else np.abs(gap).sum(axis=1)
-    return out
-
-
-def _pivot_distances(df: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
-    """Add `cell` (nearest pivot) and `dist` (to every pivot)."""
-
-    def run(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            d = _distances(np.stack(pdf["x"].to_numpy()), pivots, metric)
-            pdf["cell"] = d.argmin(axis=1).astype("int32")
-            pdf["dist"] = list(d)
-            yield pdf
-
-    return df.mapInPandas(run, ", ".join(f"{n} {t}" for n, t in df.dtypes) + ", cell int, dist array<double>")
-
-
-def neighbours(train: DataFrame, queries: DataFrame, features: str, target: str, key: str, k: int,
-               metric: str = "euclid", pivots: int = 32, block: int = 20_000) -> DataFrame:
-    """The k nearest training rows of each query: (key, rank, neighbour, distance, target). Exact.
-
-    Rows are assigned to cells around sampled pivots. From the pivots' distances alone follow an
-    upper bound of each query's k-th distance and a lower bound of its distance to any row of a
-    cell, so a query visits only cells that can hold a neighbour. Cells and their visitors are cut
-    in blocks of at most `block` rows, so a cell of any size spreads over many tasks.
-    """
-    t = train.filter(F.col(features).isNotNull()).select(
-        F.col(key).cast("long").alias("id"), F.col(target).alias("y"), F.col(features).cast("array<double>").alias("x"))
-    q = queries.filter(F.col(features).isNotNull()).select(
-        F.col(key).cast("long").alias("id"), F.col(features).cast("array<double>").alias("x"))
-    centers = t.select("x", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(pivots).collect()
-    if not centers:
-        raise ValueError("no training rows")
-    centers = np.array([r["x"] for r in centers])
-    t = stage(_pivot_distances(t, centers, metric).withColumn("r", F.get("dist", F.col("cell"))).drop("dist"))
-    # Per cell: row count, radius, and its k smallest radii - at most k numbers for each pivot.
-    sizes = {r["cell"]: r for r in t.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("r").alias("radius")).collect()}
-    parts = Window.partitionBy("cell", F.pmod(F.xxhash64("id"), F.lit(256))).orderBy("r")
-    whole = Window.partitionBy("cell").orderBy("r")
-    inner = (t.select("cell", "id", "r").withColumn("_n", F.row_number().over(parts)).filter(F.col("_n") <= k)
-             .withColumn("_m", F.row_number().over(whole)).filter(F.col("_m") <= k).select("cell", "r").collect())
-    near_cell = np.array([r["cell"] for r in inner], dtype=int)
-    near_r = np.array([r["r"] for r in inner])
-    cells = np.array(sorted(sizes))
-    radii = np.array([sizes[c]["radius"] for c in cells])
-
-    def visits(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            d = _distances(np.stack(pdf["x"].to_numpy()), centers, metric)
-            reach = d[:, near_cell] + near_r
-            kth = min(k, reach.shape[1]) - 1
-            upper = np.partition(reach, kth, axis=1)[:, kth] if reach.shape[1] >= k else np.full(len(d), np.inf)
-            lower = d[:, cells] - radii
-            go = lower <= (upper * (1 + 1e-9) + 1e-12)[:, None]
-            at, which = np.nonzero(go)
-            yield pd.DataFrame({"id": pdf["id"].to_numpy()[at], "x": pdf["x"].to_numpy()[at], "cell": cells[which].astype("int32")})
-
-    v = stage(q.mapInPandas(visits, "id long, x array<double>, cell int"))
-    load = {r["cell"]: r["n"] for r in v.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    cuts = [(int(c), max(1, math.ceil(sizes[c]["n"] / block)), max(1, math.ceil(load.get(c, 0) / block))) for c in cells]
-    plan = F.broadcast(train.sparkSession.createDataFrame(cuts, "cell int, ts int, qs int"))
-    salt = F.xxhash64("id")
-    left = v.join(plan, "cell").select(
-        "id", "x", "cell", F.pmod(salt, F.col("qs")).cast("int").alias("qb"),
-        F.explode(F.sequence(F.lit(0), F.col("ts") - 1)).alias("tb"))
-    right = t.join(plan, "cell").select(
-        "id", "y", "x", "cell", F.pmod(salt, F.col("ts")).cast("int").alias("tb"),
-        F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("qb"))
-    kind = dict(t.dtypes)["y"]
-
-    def search(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"id": [], "neighbour": [], "distance": [], "y": []})
-        b = b.sort_values("id")
-        points, ids, ys = np.stack(b["x"].to_numpy()), b["id"].to_numpy(), b["y"].to_numpy()
-        keep = min(k, len(b))
-        out = []
-        for key_value, x in zip(a["id"].to_numpy(), a["x"].to_numpy()):
-            d = _distances(np.asarray(x)[None, :], points, metric)[0]
-            best = np.argsort(d, kind="stable")[:keep]
-            out.append(pd.DataFrame({"id": key_value, "neighbour": ids[best], "distance": d[best], "y": ys[best]}))
-        return pd.concat(out)
-
-    found = left.groupBy("cell", "qb", "tb").cogroup(right.groupBy("cell", "qb", "tb")).applyInPandas(
-        search, f"id long, neighbour long, distance double, y {kind}")
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbour"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select(
-        F.col("id").alias(key), "rank", "neighbour", "distance", F.col("y").alias(target))
+from tidewater.operators.neighbours import neighbours
 
 
 def knn(train: DataFrame, queries: DataFrame, features: str, target: str, key: str, k: int,
