@@ -12,6 +12,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -177,6 +178,21 @@ def test_packing(docs, nothing):
         assert at <= 2048
 
 
+def test_word_ids_are_the_tokenizers():
+    """Marks on all sides, contractions, special strings in either case, letters whose lower case changes length, odd blanks."""
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    texts = ["They'RE (said) \"it's\" dogs' -- 'tis!?...", "<|endoftext|> <|ENDOFTEXT|> a<|startoftext|>b X<|EndOfText|>", "\u0130STANBUL \u1e9e A\u030angstr\u00f6m \ufb01n",
+             "a\u00a0b\u3000c\x1cd\x85e \u2028f", "x$$$ 12.5% \u0664\u0665 _a_ foo_bar $a$ \u00bdcup", None, "", " \t ", "caf\u00e9's \u65e5\u672c\u8a9e\u3002\u30c6\u30b9\u30c8", "Word " * 50 + "wORD,"]
+    known = packing.WordIds(WORD_BPE, chunks=4, stems=4)
+    for _ in range(3):  # known chunks, forgotten ones, and ones called back
+        for some in (texts, texts[::-1], texts[:3]):
+            got = [np.frombuffer(x, "<u4").tolist() for x in known.ids_of_all(some)]
+            assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in some]
+    for at in range(len(texts)):
+        ids, bounds = known.flat_ids(pa.array(texts).slice(at, 3))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts[at : at + 3]]
+
+
 def test_window_is_filled_as_far_as_can_be():
     rng = random.Random(1)
     for _ in range(200):

@@ -8,81 +8,126 @@ lengths (one bit per reachable total) fills window after window as close to the
 from __future__ import annotations
 
 import math
+import string
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewater.llm.common import arrow_rows, parts, staged
+from tidewater.llm.common import arrow_rows, slices, staged
 
 CAPACITY, END_ID = 2048, 1
 #: Rests per bucket, on average.
 BUCKET = 16_384
-MARKS = ".,;:!?"
+MARKS = string.punctuation
+
+
+class Recent:
+    """A mapping that forgets what wasn't asked for lately: two generations, the older one given up when the younger is full."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def learn(self, keys: set, make: Callable[[list], dict]) -> None:
+        """Puts all `keys` into the younger generation; `make` is asked for those that are new."""
+        rest = keys.difference(self.young)
+        new = rest.difference(self.old)
+        self.young.update((k, self.old[k]) for k in rest.difference(new))
+        self.young.update(make(list(new)))
+
+    def age(self) -> None:
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
 
 
 class WordIds:
     """Ids of blank-separated chunks as little-endian 32-bit bytes. No merge or pattern of the tokenizer crosses a blank.
 
-    A chunk of letters with marks behind is a pre-token of letters and one of marks, so the letters are
-    looked up alone (in lower case, which the tokenizer makes of them anyway). Unknown runs of letters
-    are encoded in one joined text, whose ids are told apart by the word-end marks of the vocabulary.
+    Texts are lower-cased first (A-Z; the tokenizer lower-cases anyway), and each slice of texts is reduced to its
+    different chunks. A chunk of letters with marks behind is a pre-token of letters and one of marks, so the letters
+    are looked up alone. Runs of plain letters are a pre-token as they are and go straight to the tokenizer's
+    model; other runs of letters are encoded in one joined text, whose ids are told apart by word-end marks.
     """
 
-    def __init__(self, path: str, chunks: int = 400_000, stems: int = 600_000):
+    def __init__(self, path: str, chunks: int = 200_000, stems: int = 300_000):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        most = max(vocabulary.values()) + 1
+        self.ends = np.zeros(most, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.chunks: dict[bytes, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-        self.most, self.most_stems = chunks, stems
+        self.raw = [i.to_bytes(4, "little") for i in range(most)]
+        self.chunks, self.stems = Recent(chunks), Recent(stems)
 
     def _alone(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _stems(self, new: list[str]) -> dict[str, bytes]:
-        found = {}
-        for at in range(0, len(new), 500):
-            some = new[at : at + 500]
+    def _encode(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of runs of letters."""
+        raw, model = self.raw, self.model
+        found = {s: b"".join([raw[t.id] for t in model.tokenize(s)]) for s in new if s.isascii()}
+        rest = [s for s in new if not s.isascii()]
+        for at in range(0, len(rest), 500):
+            some = rest[at : at + 500]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(some) and all(map(str.isalpha, some)):
-                found.update(zip(some, (p.tobytes() for p in np.split(ids, ends[:-1]))))
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(ends) == len(some):
+                own = ids.tobytes()
+                found.update(zip(some, map(own.__getitem__, map(slice, [0, *ends[:-1]], ends))))
             else:  # a letter whose lower case isn't one letter
                 found.update(zip(some, self._alone(some)))
         return found
 
-    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
-        texts = [c.decode() for c in new]
-        stems = [t.rstrip(MARKS) for t in texts]
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        stems = [t.rstrip(MARKS) for t in new]
         stems = [s.lower() if s.isascii() else s for s in stems]
-        wanted = {s for s in stems if s.isalpha()}
-        if len(self.stems) > self.most_stems:
-            self.stems = {}
-        self.stems.update(self._stems(list(wanted.difference(self.stems))))
-        tails = {t[len(s):] for s, t in zip(stems, texts) if s in wanted}
-        tail_ids = dict(zip(tails, self._alone(list(tails))))
-        others = list({t for s, t in zip(stems, texts) if s not in wanted})
-        other_ids = dict(zip(others, self._alone(others)))
-        return {c: self.stems[s] + tail_ids[t[len(s):]] if s in wanted else other_ids[t] for c, s, t in zip(new, stems, texts)}
+        letters = list(map(str.isalpha, stems))
+        self.stems.learn(set(compress(stems, letters)), self._encode)
+        tails = [t[len(s) :] for t, s in zip(new, stems)]
+        kinds = list(set(tails))
+        tail_ids = dict(zip(kinds, self._alone(kinds)))
+        known = self.stems.young
+        found = {c: known[s] + tail_ids[t] for c, s, t, alpha in zip(new, stems, tails, letters) if alpha}
+        if len(found) < len(new):
+            others = [c for c, alpha in zip(new, letters) if not alpha]
+            found.update(zip(others, self._alone(others)))
+        self.stems.age()
+        return found
+
+    def flat_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds): the ids of all texts in a row; those of text i are ids[bounds[i] : bounds[i + 1]]. Null is empty."""
+        # The library's lower-casing misreads slices, so a slice is copied first.
+        texts = texts.cast(pa.large_string()).fill_null("").take(pa.array(range(len(texts)), pa.int64()))
+        # Strings of special tokens are matched as they stand, so texts that may hold one keep their capitals.
+        cut = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
+        coded = cut.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.chunks.age()
+        self.chunks.learn(set(chunks), self._learn)
+        own = [self.chunks.young[c] for c in chunks]
+        table = np.frombuffer(b"".join(own), "<u4")
+        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        first = np.cumsum(size) - size
+        code = coded.indices.to_numpy()
+        sizes = size[code]
+        ends = np.cumsum(sizes)
+        ids = table[np.repeat(first[code] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        per_text = np.cumsum(np.asarray(pc.list_value_length(cut)))
+        return ids, np.concatenate([[0], ends])[np.concatenate([[0], per_text])]
 
     def ids_of_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text."""
-        cut = [t.encode().split() if t else [] for t in texts]
-        found = [list(map(self.chunks.get, chunks)) for chunks in cut]
-        new = list({c for chunks, ids in zip(cut, found) if None in ids for c, i in zip(chunks, ids) if i is None})
-        fresh = self._learn(new)
-        out = [b"".join(fresh[c] if i is None else i for c, i in zip(chunks, ids)) if None in ids else b"".join(ids) for chunks, ids in zip(cut, found)]
-        if len(self.chunks) > self.most:
-            self.chunks = {}
-        self.chunks.update({c: ids for c, ids in fresh.items() if len(c) <= 64})
-        return out
+        ids, bounds = self.flat_ids(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
 
     def ids_of(self, text: str | None) -> bytes:
         return self.ids_of_all([text])[0]
@@ -104,10 +149,11 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
             _WORDS[tokenizer] = WordIds(tokenizer)
         known = _WORDS[tokenizer]
         end = np.array([end_id], "<u4").tobytes()
-        for part in parts(batches):
+        for part in slices(batches):
             out = {f.name: [] for f in schema}
-            for doc_id, raw in zip(part["doc_id"], known.ids_of_all(part["text"])):
-                raw += end
+            ids, bounds = known.flat_ids(part.column(1))
+            for doc_id, first, last in zip(part.column(0).to_pylist(), bounds.tolist(), bounds[1:].tolist()):
+                raw = ids[first:last].tobytes() + end
                 for at in range(0, len(raw), 4 * capacity):
                     own = raw[at : at + 4 * capacity]
                     out["doc_id"].append(doc_id)
