@@ -50,6 +50,25 @@ def test_queries_visit_few_rows_of_a_clustered_table(spark):
     assert shares[0] < 0.15 and shares[1] < 0.5 * shares[0]
 
 
+@pytest.mark.parametrize("block", [4, 7, 512])
+def test_block_products_equal_numpy(spark, block):
+    """Dense, sparse and tall factors, negative and far-off indexes, repeated cells and nulls."""
+    rng = np.random.default_rng(block)
+    for shape, share in (((19, 23, 11), 1.0), ((30, 40, 30), 0.1), ((3, 90, 3), 0.7)):
+        a = rng.integers(-4, 5, shape[:2]) * (rng.random(shape[:2]) < share)
+        b = rng.integers(-4, 5, shape[1:]) * (rng.random(shape[1:]) < share)
+        cells = lambda m, i0, j0: [(int(i) - i0, int(j) - j0, float(m[i, j])) for i, j in np.argwhere(m)]
+        left = cells(a, 9, 5) + [(1, None, 2.0), (None, 1, 2.0), (2, 2, None)]
+        left += [(i, j, 1.0) for i, j, _ in left[:3]] + [(i, j, -1.0) for i, j, _ in left[:3]]
+        right = cells(b, 5, -10**9)
+        got = matrix.matmul(*(spark.createDataFrame(x, "i long, j long, v double") for x in (left, right)), block=block).collect()
+        want = a @ b
+        met = (a != 0).astype(int) @ (b != 0).astype(int)
+        assert {(r["i"] + 9, r["j"] - 10**9): r["v"] for r in got} == {(i, j): float(want[i, j]) for i, j in np.argwhere(met).tolist()}
+    empty = spark.createDataFrame([], "i long, j long, v double")
+    assert matrix.matmul(empty, empty, block).count() == 0
+
+
 def test_no_neighbour_without_rows(spark):
     none = _frame(spark, [], [], [])
     assert neighbours.neighbours(none, none, "x", "y", "id", 3).count() == 0

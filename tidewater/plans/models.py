@@ -301,6 +301,30 @@ def matrix_product(t: Tables) -> DataFrame:
     return matrix.matmul(a, matrix.transpose(a))
 
 
+@job("ml28_gram_matrix", _LONG + "SELECT x.j AS i, y.j AS j, sum(x.v * y.v) AS v FROM a x JOIN a y ON x.i = y.i GROUP BY ALL")
+def gram_matrix(t: Tables) -> DataFrame:
+    """A'A of a tall matrix: the inner index grows with the table, the result doesn't."""
+    a = _long(t)
+    return matrix.matmul(matrix.transpose(a), a)
+
+
+def _dense_long(t: Tables) -> DataFrame:
+    """Vectors x dimensions, every cell filled, as (i, j, v)."""
+    return t.embeddings.select(F.col("vec_id").cast("long").alias("i"), F.posexplode("embedding").alias("j", "v")).select(
+        "i", F.col("j").cast("long").alias("j"), F.col("v").cast("double").alias("v"))
+
+
+@job("ml28_dense_product", """
+    WITH e AS (SELECT vec_id AS i, unnest(range(len(embedding))) AS j, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+    g AS (SELECT x.j AS i, y.j AS j, sum(x.v * y.v) AS v FROM e x JOIN e y ON x.i = y.i GROUP BY ALL)
+    SELECT CAST(e.i AS BIGINT) AS i, CAST(g.j AS BIGINT) AS j, round(sum(e.v * g.v), 4) AS v FROM e JOIN g ON e.j = g.i GROUP BY ALL
+""")
+def dense_product(t: Tables) -> DataFrame:
+    """E (E'E): two dense products, in blocks."""
+    e = _dense_long(t)
+    return matrix.matmul(e, matrix.matmul(matrix.transpose(e), e)).withColumn("v", F.round("v", 4))
+
+
 @job("ml29_transpose", _LONG + "SELECT j AS i, i AS j, v FROM a")
 def transpose(t: Tables) -> DataFrame:
     return matrix.transpose(_long(t))
