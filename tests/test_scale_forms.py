@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidewater.operators import ordering, ranges, selection, stats, windows
+from tidewater.operators import ordering, patterns, ranges, selection, stats, windows
 from tidewater.operators.windows import Scan, scan_along
 from tidewater.staging import frames_along
 
@@ -165,3 +166,43 @@ def test_weighted_average_forms_agree(spark):
     a = windows.weighted_ma(df, ["d"], "v", [5, 4, 3, 2, 1], "lag").toPandas().sort_values("d")["weighted_ma"]
     b = windows.weighted_ma(df, ["d"], "v", [5, 4, 3, 2, 1], "array").toPandas().sort_values("d")["weighted_ma"]
     assert np.allclose(a, b)
+
+
+def _like(pattern, name):
+    """ILIKE in plain Python: % any text, _ one letter, backslash before a letter takes it as it is."""
+    out, i = "", 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\" and i + 1 < len(pattern):
+            i += 1
+            out += re.escape(pattern[i])
+        else:
+            out += ".*" if c == "%" else "." if c == "_" else re.escape(c)
+        i += 1
+    return re.fullmatch(out, name, re.S) is not None
+
+
+def test_rules_meet_names_through_their_pieces(spark):
+    rng = random.Random(12)
+    names = ["".join(rng.choice("abcA_ %") for _ in range(rng.randint(0, 9))) for _ in range(300)] + [None, "", "abcabcabc", "a\\b"]
+    rules = {("".join(rng.choice("abcB%%_") for _ in range(rng.randint(0, 6))), rng.choice("xyz")) for _ in range(160)}
+    rules |= {("", "empty"), ("%", "all"), ("___%", "long"), ("_%__", "long too"), ("abc\\%%", "escaped"), ("%\\_a%", "score"), ("\\_\\%", "both"), (None, "none"), ("%cab%", None)}
+    got = patterns.match_rules(spark.createDataFrame([(i, n, "old") for i, n in enumerate(names)], "id int, name string, action string"),
+                               spark.createDataFrame(list(rules), "pattern string, action string"))
+    assert got.columns == ["id", "name", "action"]
+    found = {r["id"]: r["action"] for r in got.collect()}
+    assert len(found) == len(names)
+    for i, n in enumerate(names):
+        fits = [] if n is None else [(p.lower() != n.lower(), -len(p), p, a is None, a or "") for p, a in rules
+                                     if p is not None and (p.lower() == n.lower() or _like(p.lower(), n.lower()))]
+        best = min(fits, default=None)
+        assert (found[i] or "") == (best[4] if best else ""), (n, best)
+
+
+def test_many_rules_are_neither_collected_nor_paired(spark):
+    names = spark.range(4_000).selectExpr("concat('item ', lpad(id, 6, '0'), ' of ', id % 7) AS name")
+    rules = spark.range(10_000).selectExpr("concat('%', lpad(id, 6, '0'), '%') AS pattern", "concat('rule ', id) AS action")
+    got = patterns.match_rules(names, rules)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert got.filter("action = concat('rule ', cast(substring(name, 6, 6) AS int))").count() == 4_000

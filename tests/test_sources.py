@@ -7,7 +7,7 @@ import codecs
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.operators import maintenance, quality, ranges
+from tidewater.operators import maintenance, patterns, quality
 from tidewater.sources import files, html, jdbc
 from tidewater.streaming import filedrop, hourly
 
@@ -101,7 +101,7 @@ def test_keys_start_at_one_in_an_empty_table(spark):
 def test_rule_precedence(spark):
     names = spark.createDataFrame([("dim_scd",), ("x_history",), ("ya_table",), ("yaXtable",), ("plain",)], "name string")
     rules = spark.createDataFrame([("%_SCD", "Copy with data"), ("%_History", "Skip"), ("ya_table", "Skip"), ("%_table", "Copy schema")], "pattern string, action string")
-    got = {r["name"]: r["action"] for r in ranges.match_rules(names, rules).collect()}
+    got = {r["name"]: r["action"] for r in patterns.match_rules(names, rules).collect()}
     assert got == {"dim_scd": "Copy with data", "x_history": "Skip", "ya_table": "Skip", "yaXtable": "Skip", "plain": None}
 
 

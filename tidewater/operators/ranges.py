@@ -62,32 +62,6 @@ def interval_counts(intervals: DataFrame, probes: DataFrame, start: str, stop: s
     )
 
 
-def match_rules(names: DataFrame, rules: DataFrame, name: str = "name",
-                pattern: str = "pattern", action: str = "action") -> DataFrame:
-    """Attach to each name the action of the best matching LIKE pattern (case-insensitive), NULL when none fits.
-
-    A name that is spelled out beats a pattern, then the longest pattern wins, then the smaller
-    text. The rules are a hand-kept list, so they are folded into expressions, 200 at a time; the
-    names are never paired with them.
-    """
-    listed = sorted({(r[0], r[1]) for r in rules.select(pattern, action).collect()}, key=lambda r: (-len(r[0]), r[0]))
-    nothing = F.lit(None).cast("struct<rank: int, action: string>")
-
-    def fold(conditions: list[tuple[Column, str]], offset: int) -> Column:
-        best = nothing
-        for start in range(0, len(conditions), 200):
-            pack = None
-            for i, (cond, act) in enumerate(conditions[start:start + 200]):
-                hit = F.struct(F.lit(offset + start + i).alias("rank"), F.lit(act).alias("action"))
-                pack = F.when(cond, hit) if pack is None else pack.when(cond, hit)
-            best = F.least(best, pack)
-        return best
-
-    same = fold([(F.lower(F.col(name)) == F.lit(p.lower()), act) for p, act in listed], 0)
-    like = fold([(F.col(name).ilike(p), act) for p, act in listed], len(listed))
-    return names.withColumn(action, F.coalesce(same, like)["action"])
-
-
 def nearest_group(df: DataFrame, groups: DataFrame, value: str, group: str, center: str, key: str,
                   signed: bool = False) -> DataFrame:
     """For each row the group whose `center` is nearest to `value`; ties go to the smaller group name.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.numbers import exact_mean, exact_sum
-from tidewater.operators import joins, ranges, sets
+from tidewater.operators import joins, patterns, ranges, sets
 from tidewater.registry import job
 from tidewater.tables import Tables
 
@@ -112,10 +112,30 @@ def anti(t: Tables) -> DataFrame:
 def name_rules(t: Tables) -> DataFrame:
     rules = t.spark.createDataFrame(
         [("% ring", "Copy with data"), ("% bo_t", "Skip"), ("small %", "Copy schema"), ("blue bolt", "Skip")], "pattern string, action string")
-    matched = ranges.match_rules(t.part.select("p_partkey", "p_name"), rules, name="p_name")
+    matched = patterns.match_rules(t.part.select("p_partkey", "p_name"), rules, name="p_name")
     return matched.fillna("none", ["action"])
 
 
+@job("jn13_rules_as_many_as_names", """
+    WITH rules AS (
+        SELECT substr(s_name, 1, 17) || '%' AS pattern, 'group ' || min(s_nationkey) AS action FROM supplier GROUP BY 1
+        UNION ALL SELECT '%#_____' || substr(s_name, 15) AS pattern, 'one ' || min(s_nationkey) FROM supplier GROUP BY 1
+        UNION ALL SELECT '%' || substr(s_name, 16, 2) || '_', 'tail ' || min(s_nationkey) FROM supplier GROUP BY 1
+        UNION ALL SELECT lower(s_name), 'own' FROM supplier WHERE s_acctbal > 5000)
+    SELECT s_suppkey, s_name, (SELECT action FROM rules WHERE s_name ILIKE pattern
+        ORDER BY lower(pattern) <> lower(s_name), -length(pattern), pattern, action LIMIT 1) AS action FROM supplier
+""")
+def many_rules(t: Tables) -> DataFrame:
+    """A rule table that grows with the names: starts, ends, pieces between wildcards, and names spelled out."""
+    name, least = F.col("s_name"), F.min("s_nationkey").cast("string")
+    start, middle, tail = (F.substring(name, 1, 17), F.substring(name, 15, 99), F.substring(name, 16, 2))
+    rules = t.supplier.groupBy(F.concat(start, F.lit("%")).alias("pattern")).agg(F.concat(F.lit("group "), least).alias("action"))
+    rules = rules.union(t.supplier.groupBy(F.concat(F.lit("%#_____"), middle)).agg(F.concat(F.lit("one "), least)))
+    rules = rules.union(t.supplier.groupBy(F.concat(F.lit("%"), tail, F.lit("_"))).agg(F.concat(F.lit("tail "), least)))
+    rules = rules.union(t.supplier.filter("s_acctbal > 5000").select(F.lower(name), F.lit("own")))
+    return patterns.match_rules(t.supplier.select("s_suppkey", "s_name"), rules, name="s_name")
+
+
 @job("jn10_parameter_row_range", """
     WITH par AS (SELECT DATE '1997-03-01' AS from_dt, DATE '1997-05-31' AS to_dt)
     SELECT o_orderkey, o_custkey FROM orders JOIN par ON o_orderdate >= from_dt AND o_orderdate < to_dt + INTERVAL 1 DAY

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidewater import schemas
 from tidewater.functions.numbers import exact_sum
 from tidewater.operators import maintenance, signal
-from tidewater.operators.ranges import match_rules
+from tidewater.operators.patterns import match_rules
 from tidewater.registry import job
 from tidewater.session import shared_dir
 from tidewater.sources import files, html
