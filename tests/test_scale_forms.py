@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidewater import registry
 from tidewater.operators import ordering, patterns, ranges, selection, stats, windows
 from tidewater.operators.windows import Scan, scan_along
 from tidewater.staging import frames_along
@@ -107,24 +108,32 @@ def test_quantiles_do_not_depend_on_rounds(spark, limits, monkeypatch):
     assert selection.exact_quantiles(df.limit(0), "v", qs, by=["g"]).count() == 0
 
 
-def test_interval_counts_equal_theta_join(spark):
+@pytest.mark.parametrize("own", [True, False])
+def test_interval_counts_equal_theta_join(spark, own):
     rng = random.Random(3)
-    rows = []
+    rows, asked = [], []
     for _ in range(400):
         a = rng.randint(0, 60)
-        rows.append((a, a + rng.choice([0, 0, 1, 5, 40])))
+        rows.append((a, a + rng.choice([0, 0, 1, 5, 40, -2 if own else 7])))
+        asked.append((rng.randint(-5, 80), rng.randint(-5, 110)))
     rows += [(None, 3), (4, None)]
-    df = spark.createDataFrame(rows, "a int, b int")
-    got = {tuple(r) for r in ranges.interval_counts(
-        df, df.select(F.col("a").alias("start_ts"), F.col("b").alias("stop_ts")), "a", "b").collect()}
-    whole = [(a, b) for a, b in rows if a is not None and b is not None]
+    df, probes = spark.createDataFrame(rows, "a int, b int"), spark.createDataFrame([*asked, (None, 3)], "a int, b int")
+    got = [tuple(r) for r in ranges.interval_counts(df, "a", "b", None if own else probes).collect()]
+    whole = [(a, b) for a, b in rows if a is not None and b is not None and a <= b]
     want = set()
-    for s, e in set(whole):
-        air = sum(1 for a, b in whole if s <= b and e >= a and e < b)
+    for s, e in {r for r in rows if None not in r} if own else set(asked):
+        air = sum(1 for a, b in whole if a <= e < b)
         done = sum(1 for a, b in whole if s > b)
         if air or done:
             want.add((s, e, air, done))
-    assert got == want
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_interval_counts_read_their_source_once(spark):
+    """What is left after the table of spans reads neither orders nor lineitem."""
+    for name in ("jn09_interval_counts", "q27_open_and_finished_counts"):
+        got = registry.queries()[name](spark, "/root/testdata/sf0.001")
+        assert not {"orders", "lineitem"} & {f.rsplit("/", 1)[-1].split(".")[0] for f in got.inputFiles()}
 
 
 @pytest.mark.parametrize("signed", [False, True])

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.staging import Scan, scan_along
+from tidewater.staging import Scan, scan_along, stage
 
 
 def bucket_spine(spark: SparkSession, start: str, stop: str, step: str = "1 HOUR", out: str = "from_ts") -> DataFrame:
@@ -31,34 +31,33 @@ def left_bucket_join(spine: DataFrame, df: DataFrame, ts: str, aggs: Mapping[str
     return spine.join(per_bucket, F.col(spine_col) == F.col("_b"), "left").drop("_b")
 
 
-def interval_counts(intervals: DataFrame, probes: DataFrame, start: str, stop: str,
-                    p_start: str = "start_ts", p_stop: str = "stop_ts") -> DataFrame:
-    """For each probe [p_start, p_stop]: intervals still open at p_stop (`in_air`) and ended before p_start (`finished`).
+def interval_counts(intervals: DataFrame, start: str, stop: str, probes: DataFrame | None = None) -> DataFrame:
+    """For each probe [start, stop]: intervals still open at its stop (`in_air`) and ended before its start (`finished`).
 
-    Open at p_stop means start <= p_stop < stop. With start <= stop on every interval these are
-    differences of running counts over the distinct times, so intervals and probes are never paired.
-    Probes with zero in both counts are left out, as are intervals with a missing end.
+    Open at a time means start <= time < stop. With start <= stop on every interval these are differences of
+    running counts over the distinct times, so intervals and probes are never paired. Without `probes` (same column
+    names) the intervals are the probes. Both sides are read once, into one table of different spans with their
+    numbers, and one sweep over its times serves all. Probes with zero in both counts are left out, as are spans
+    with a missing end.
     """
-    whole = intervals.filter(F.col(start).isNotNull() & F.col(stop).isNotNull() & (F.col(start) <= F.col(stop)))
-    probe = probes.select(p_start, p_stop).filter(
-        F.col(p_start).isNotNull() & F.col(p_stop).isNotNull()).distinct()
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    marks = (
-        whole.select(F.explode(F.array(
-            F.struct(F.col(start).alias("t"), one.alias("opened"), zero.alias("closed")),
-            F.struct(F.col(stop).alias("t"), zero.alias("opened"), one.alias("closed")))).alias("m"))
-        .select("m.*")
-        .unionByName(probe.select(F.explode(F.array(p_start, p_stop)).alias("t"), zero.alias("opened"), zero.alias("closed")))
-        .groupBy("t").agg(F.sum("opened").alias("opened"), F.sum("closed").alias("closed"))
-    )
-    timeline = scan_along(marks, [F.col("t").asc()], {
-        "opened_upto": Scan("sum", F.col("opened")), "closed_upto": Scan("sum", F.col("closed"))})
-    at_stop = timeline.select(F.col("t").alias(p_stop), (F.col("opened_upto") - F.col("closed_upto")).alias("in_air"))
-    at_start = timeline.select(F.col("t").alias(p_start), (F.col("closed_upto") - F.col("closed")).alias("finished"))
+    both = intervals.select(F.col(start).alias("_s"), F.col(stop).alias("_e"), one.alias("_n"), F.lit(probes is None).alias("_asked"))
+    if probes is not None:
+        both = both.unionByName(probes.select(F.col(start).alias("_s"), F.col(stop).alias("_e"), zero.alias("_n"), F.lit(True).alias("_asked")))
+    spans = stage(both.filter("_s IS NOT NULL AND _e IS NOT NULL").groupBy("_s", "_e").agg(F.sum("_n").alias("_n"), F.max("_asked").alias("_asked")))
+    weight = F.when(F.col("_s") <= F.col("_e"), F.col("_n")).otherwise(0)
+    marks = spans.select(F.explode(F.array(
+        F.struct(F.col("_s").alias("t"), weight.alias("opened"), zero.alias("closed")),
+        F.struct(F.col("_e").alias("t"), zero.alias("opened"), weight.alias("closed")))).alias("m")).select("m.*")
+    times = marks.groupBy("t").agg(F.sum("opened").alias("opened"), F.sum("closed").alias("closed"))
+    timeline = stage(scan_along(times, [F.col("t").asc()], {
+        "opened_upto": Scan("sum", F.col("opened")), "closed_upto": Scan("sum", F.col("closed"))}))
+    at_stop = timeline.select(F.col("t").alias("_e"), (F.col("opened_upto") - F.col("closed_upto")).alias("in_air"))
+    at_start = timeline.select(F.col("t").alias("_s"), (F.col("closed_upto") - F.col("closed")).alias("finished"))
     return (
-        probe.join(at_stop, p_stop).join(at_start, p_start)
+        spans.filter("_asked").select("_s", "_e").join(at_stop, "_e").join(at_start, "_s")
         .filter((F.col("in_air") > 0) | (F.col("finished") > 0))
-        .select(p_start, p_stop, "in_air", "finished")
+        .select(F.col("_s").alias(start), F.col("_e").alias(stop), "in_air", "finished")
     )
 
 

@@ -90,7 +90,7 @@ def left_to_spine(t: Tables) -> DataFrame:
 def interval_counts(t: Tables) -> DataFrame:
     spans = t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.least("o_orderdate", "l_shipdate").alias("start_ts"), F.greatest("o_orderdate", "l_shipdate").alias("stop_ts"))
-    return ranges.interval_counts(spans, spans, "start_ts", "stop_ts")
+    return ranges.interval_counts(spans, "start_ts", "stop_ts")
 
 
 @job("jn11_semi", "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 450000)")

@@ -479,7 +479,7 @@ def open_and_finished(t: Tables) -> DataFrame:
     orders = t.orders.filter(dates.in_days(F.col("o_orderdate"), "1997-02-01", "1997-02-28"))
     spans = orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.least("o_orderdate", "l_shipdate").alias("start_ts"), F.greatest("o_orderdate", "l_shipdate").alias("stop_ts"))
-    return interval_counts(spans, spans, "start_ts", "stop_ts")
+    return interval_counts(spans, "start_ts", "stop_ts")
 
 
 @job("q28_hours_with_running_totals", """
