@@ -180,12 +180,30 @@ def test_toxicity(spark):
     assert toxicity.score_toxicity(docs.limit(0), truth, F.lit(True)).count() == 0
 
 
+def test_scores_are_those_of_the_worst_window():
+    """Each window alone, with its inputs made word by word, against the scorer's tables and blocks."""
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(40)]
+    texts = [[rng.choice(vocabulary).encode() for _ in range(n)] for n in (0, 1, 15, 16, 17, 32, 33, 48, 49, 200)]
+    net = toxicity.fit(texts * 3, [i % 2 for i in range(len(texts) * 3)], rounds=1, epochs=1)
+
+    def alone(words):
+        ids = np.array([[net.vocabulary.get(w, 0) for w in words] + [0] * (32 - len(words))])
+        tri = np.array([[toxicity.trigrams(w) for w in words] + [[0] * toxicity.PER_WORD] * (32 - len(words))])
+        mask = np.array([[1.0] * len(words) + [0.0] * (32 - len(words))])
+        return 1 / (1 + np.exp(-float(net.forward(net.gates(net.inputs(ids, tri)), mask)[0])))
+
+    want = [max(alone(t[i : i + 32]) for i in range(0, max(1, len(t) - 16), 16)) for t in texts]
+    assert toxicity.Scorer(net).score(texts) == pytest.approx(want, abs=1e-5)
+
+
 def test_fitting_sample_is_bounded_in_rows(spark):
     docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "one"), (2, "one"), (3, None)], "doc_id long, text string").repartition(5)
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
     found = toxicity.fitting_rows(docs, labels, F.lit(True), 10, 10)
     assert len(found) == 2 and found[0][1] == 1 and found[1] == ("one", 0)
     assert toxicity.fitting_rows(docs.repartition(2), labels, F.lit(True), 10, 10) == found
+    assert toxicity.fitting_rows(docs, labels, F.lit(True), 10, 10, most_bytes=3) == [("one", 0)]
 
 
 def test_every_byte_of_a_long_word_counts():

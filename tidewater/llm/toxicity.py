@@ -8,8 +8,7 @@ scoring are numpy: the driver fits on a bounded sample of labelled rows, tasks s
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +24,8 @@ HIDDEN, WIDTH = 8, 8
 TRIGRAMS, PER_WORD = 4096, 16
 #: Labelled rows that the driver fits on, at most, by label; and the words that have a vector of their own.
 FIT_TOXIC, FIT_CLEAN, VOCABULARY = 1_000, 3_000, 20_000
+#: Bytes of the longest text that is learnt from; texts of any length are scored whole.
+FIT_BYTES = 32_768
 #: Windows that go through the network together, and words whose inputs a task remembers.
 BLOCK, CACHE = 2_048, 150_000
 #: Share of word vectors left out in training.
@@ -172,23 +173,32 @@ class Network:
 
 
 class Windows:
-    """Windows of texts as arrays of word types, each type with its vocabulary id and trigrams."""
+    """Windows of texts as rows of word types, each type with its vocabulary id and trigrams; `texts` are read one by one."""
 
-    def __init__(self, texts: list[list[bytes]], vocabulary: dict[bytes, int]):
+    def __init__(self, texts: Iterable[list[bytes]], vocabulary: dict[bytes, int] | None = None):
         types: dict[bytes, int] = {b"": 0}
-        rows, self.doc = [], []
-        for d, ws in enumerate(texts):
-            seq = [types.setdefault(w, len(types)) for w in ws]
+        self.texts = [np.fromiter((types.setdefault(w, len(types)) for w in ws), np.int32, len(ws)) for ws in texts]
+        self.types = list(types)
+        counts = [len(window_starts(len(seq))) for seq in self.texts]
+        self.doc = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        self.rows = np.zeros((len(self.doc), WINDOW), np.int32)
+        at = 0
+        for seq in self.texts:
             for s in window_starts(len(seq)):
                 own = seq[s : s + WINDOW]
-                rows.append(own + [0] * (WINDOW - len(own)))
-                self.doc.append(d)
-        self.rows, self.doc = np.array(rows).reshape(-1, WINDOW), np.array(self.doc)
-        self.ids = np.array([vocabulary.get(w, 0) for w in types])
-        self.tri = np.array([trigrams(w) if w else [0] * PER_WORD for w in types])
+                self.rows[at, : len(own)] = own
+                at += 1
+        self.tri = np.zeros((len(types), PER_WORD), np.uint16)
+        for i, w in enumerate(self.types):
+            if w:
+                self.tri[i] = trigrams(w)
+        self.name(vocabulary or {})
 
+    def name(self, vocabulary: dict[bytes, int]) -> None:
+        self.ids = np.array([vocabulary.get(w, 0) for w in self.types], np.int32)
 
-def fit(texts: list[list[bytes]], toxic: list[int], seed: int = 11, rounds: int = 5, epochs: int = 4, rate: float = 0.01) -> Network:
+
+def fit(texts: Iterable[list[bytes]], toxic: list[int], seed: int = 11, rounds: int = 5, epochs: int = 4, rate: float = 0.01) -> Network:
     """Multiple-instance training: of each text the window that looks worst stands for it, chosen anew each round.
 
     Words lose their own vector at random, so that the trigrams have to carry the rest.
@@ -198,12 +208,16 @@ def fit(texts: list[list[bytes]], toxic: list[int], seed: int = 11, rounds: int
     """
     rng = np.random.default_rng(seed)
     y = np.array(toxic, np.float32)
-    fold = np.arange(len(texts)) % 2
-    seen = [[Counter(), Counter()], [Counter(), Counter()]]
-    for ws, label, f in zip(texts, toxic, fold):
-        seen[f][int(label)].update(set(ws))
-    total = sum((c for pair in seen for c in pair), Counter())
-    vocabulary = {w: i + 1 for i, (w, n) in enumerate(sorted(total.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY]) if n >= 4}
+    fold = np.arange(len(y)) % 2
+    all_ = Windows(texts)
+    seen = np.zeros((2, 2, len(all_.types)), np.int32)  # documents with a word, by fold and label
+    for seq, label, f in zip(all_.texts, toxic, fold):
+        seen[f, int(label), np.unique(seq)] += 1
+    all_.texts = []
+    total = seen.sum((0, 1))
+    often = sorted(np.flatnonzero(total >= 4).tolist(), key=lambda i: (-total[i], all_.types[i]))[:VOCABULARY]
+    vocabulary = {all_.types[i]: k + 1 for k, i in enumerate(often)}
+    all_.name(vocabulary)
     net = Network.fresh(vocabulary, rng)
     if not 0 < y.sum() < len(y):
         return net
@@ -211,26 +225,22 @@ def fit(texts: list[list[bytes]], toxic: list[int], seed: int = 11, rounds: int
 
     def lift(folds: list[int]) -> np.ndarray:
         """Smoothed log-odds of the vocabulary, from the documents of some folds."""
-        out = np.zeros(len(vocabulary) + 1, np.float32)
-        for w, i in vocabulary.items():
-            bad, n = sum(seen[f][1][w] for f in folds), sum(seen[f][c][w] for f in folds for c in (0, 1))
-            out[i] = np.log((bad + 2 * share) / (n + 2)) - np.log(share)
-        return out
+        own = seen[folds][:, :, often].sum(0)
+        return np.concatenate([[0], np.log((own[1] + 2 * share) / (own.sum(0) + 2)) - np.log(share)]).astype(np.float32)
 
     # In training a text's words have the log-odds of the other half's texts, so that chance isn't learnt as certainty.
     crossed = np.stack([lift([1]), lift([0])])
     net.p["word"][:, 0] = lift([0, 1])
-    all_ = Windows(texts, vocabulary)
     half = fold[all_.doc]
-    worst = crossed[half[:, None], all_.ids[all_.rows]].max(1)
+    worst = np.concatenate([crossed[half[i : i + BLOCK, None], all_.ids[all_.rows[i : i + BLOCK]]].max(1) for i in range(0, len(half), BLOCK)])
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
     for r in range(rounds):
         order = np.lexsort((rng.random(len(worst)), worst))
-        top = np.zeros(len(texts), int)
+        top = np.zeros(len(y), int)
         top[all_.doc[order]] = order
         other = np.flatnonzero(y[all_.doc] == 0)
-        picked = np.concatenate([top, rng.choice(other, min(len(other), len(texts)), replace=False)])
+        picked = np.concatenate([top, rng.choice(other, min(len(other), len(y)), replace=False)])
         labels = y[all_.doc[picked]]
         # Half-way between the classes as they come and classes of equal weight: clean texts are to be left alone.
         weight = np.sqrt(np.where(labels > 0, 0.5 / max(labels.mean(), 1e-6), 0.5 / max(1 - labels.mean(), 1e-6))).astype(np.float32)
@@ -255,7 +265,12 @@ def fit(texts: list[list[bytes]], toxic: list[int], seed: int = 11, rounds: int
 
 
 def score_windows(net: Network, windows: Windows) -> np.ndarray:
-    gates = net.gates(net.inputs(windows.ids, windows.tri))
+    """Logits of all windows; types and windows go through in blocks, so that only gate inputs are held for all types."""
+    gates = {side: np.zeros((len(windows.ids), 3 * HIDDEN), np.float32) for side in "fb"}
+    for at in range(0, len(windows.ids), BLOCK):
+        own = slice(at, at + BLOCK)
+        for side, v in net.gates(net.inputs(windows.ids[own], windows.tri[own])).items():
+            gates[side][own] = v
     return np.concatenate([
         net.forward({s: v[rows] for s, v in gates.items()}, (rows > 0).astype(np.float32))
         for rows in np.array_split(windows.rows, max(1, -(-len(windows.rows) // BLOCK)))
@@ -312,18 +327,20 @@ class Scorer:
         return _sigmoid(worst)
 
 
-def fitting_rows(docs: DataFrame, labels: DataFrame, usable: Column, toxic: int, clean: int) -> list[tuple[str, int]]:
+def fitting_rows(docs: DataFrame, labels: DataFrame, usable: Column, toxic: int, clean: int, most_bytes: int = FIT_BYTES) -> list[tuple[str, int]]:
     """At most `toxic` and `clean` labelled texts, chosen by a hash of the id; of several labels of a document the highest counts.
 
-    Of several texts of one id the one with the smallest hash is taken, before anything reaches the driver.
+    Of several texts of one id the one with the smallest hash is taken, before anything reaches the driver. Texts of
+    more than `most_bytes` bytes aren't learnt from, so the sample is bounded in bytes as well.
     """
     truth = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & usable).groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     rows = []
     for label, most in ((1, toxic), (0, clean)):
         chosen = truth.filter(F.col("_toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-        own = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter("text is not null")
-        rows += own.groupBy("doc_id", "_toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).collect()
-    return [(r["text"], r["_toxic"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
+        own = docs.select("doc_id", "text").filter(F.octet_length("text") <= most_bytes).join(F.broadcast(chosen), "doc_id")
+        found = own.groupBy("doc_id", "_toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).toArrow()
+        rows += zip(found["doc_id"].to_pylist(), found["text"].to_pylist(), found["_toxic"].to_pylist())
+    return [(text, label) for _, text, label in sorted(rows, key=lambda r: r[0])]
 
 
 def score_toxicity(
@@ -337,7 +354,7 @@ def score_toxicity(
     spark = docs.sparkSession
     docs = docs.drop("score", "predicted")
     sample = fitting_rows(docs, labels, usable, toxic, clean)
-    net = spark.sparkContext.broadcast(fit([plain(words_of(t, lower=True)) for t, _ in sample], [y for _, y in sample]))
+    net = spark.sparkContext.broadcast(fit((plain(words_of(t, lower=True)) for t, _ in sample), [y for _, y in sample]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(net.value)
