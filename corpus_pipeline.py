@@ -21,15 +21,22 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
 
 
+def _aside(docs: DataFrame) -> DataFrame:
+    """`docs` with names that no operator makes itself for all columns that the filters don't read."""
+    return docs.toDF(*[c if c in ("doc_id", "lang", "text") else f"_own_{i}" for i, c in enumerate(docs.columns)])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network doesn't call toxic; it learns from the labels that aren't held out."""
-    scored = score_toxicity(docs, _labels(spark, sf_dir), remainder_col(F.col("doc_id"), 3) != 1)
-    return scored.filter("predicted = 0").select(*docs.columns)
+    own = _aside(docs)
+    scored = score_toxicity(own, _labels(spark, sf_dir), remainder_col(F.col("doc_id"), 3) != 1)
+    return scored.filter("predicted = 0").select(*own.columns).toDF(*docs.columns)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the certified cutoffs keep."""
-    return judge(docs, _labels(spark, sf_dir)).filter("kept").select(*docs.columns)
+    own = _aside(docs)
+    return judge(own, _labels(spark, sf_dir)).filter("kept").select(*own.columns).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
