@@ -37,6 +37,18 @@ def test_filters_only_drop_rows(steps):
     assert [s.count() for s in steps[:4]] == sorted((s.count() for s in steps[:4]), reverse=True)
 
 
+def test_filters_keep_columns_with_clashing_names(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    more = docs
+    for c in ("score", "predicted", "kept", "n_words", "stratum", "row"):
+        more = more.selectExpr("*", f"concat('{c}', doc_id) AS `{c}`")
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.keep_quality):
+        after = stage(spark, more, FOLDER)
+        assert after.columns == more.columns
+        rows = after.collect()
+        assert rows and all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in more.columns[len(docs.columns) :])
+
+
 def test_near_copies(steps):
     before = [(r["doc_id"], r["text"]) for r in steps[2].collect()]
     want = sorted(i for i, _, c in linked(before) if i == c)
