@@ -233,16 +233,16 @@ def find_repeats(docs: DataFrame, n: int = WORDS) -> DataFrame:
     rows = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("oid"), F.xxhash64("text").alias("text_key"), "text")
     found = staged(_occurrences(rows, n))
     own, named = found.filter("name is null"), found.filter("name is not null")
-    owners = own.groupBy("w1", "w2").agg(F.min("oid").alias("owner"))
     # Grouped tables are written before they are joined: then a hot key's rows on the other side can be split.
+    owners = staged(own.groupBy("w1", "w2").agg(F.min(F.struct("oid", "text_key")).alias("o")).select("w1", "w2", F.col("o.oid").alias("owner"), F.col("o.text_key").alias("owner_key")))
     shared = staged(named.groupBy("name").agg(F.min("w1").alias("a"), F.max("w1").alias("b")).filter("a < b").select("name"))
     suspects = staged(
-        named.join(shared, "name").join(owners, ["w1", "w2"]).filter("oid = owner")
-        .groupBy("w1", "w2", "oid").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+        named.join(shared, "name").join(owners, ["w1", "w2"]).filter("oid = owner AND text_key = owner_key")
+        .groupBy("w1", "w2", "oid", "text_key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     )
     # A few spans per suspect document: where they are few in all, no text has to be shuffled to meet them.
     suspects = broadcast_if_small(suspects, F.size("spans").cast("long"), 4 * BROADCAST_ROWS)
-    compared = staged(_windows(rows.join(suspects, "oid").select("text", "oid", "w1", "w2", "spans"), n))
+    compared = staged(_windows(rows.join(suspects, ["oid", "text_key"]).select("text", "oid", "w1", "w2", "spans"), n))
     windows, texts = compared.filter("place is not null"), compared.filter("place is null").select("oid", "w1", "text")
     earliest = staged(windows.groupBy("h1", "h2").agg(F.min("oid").alias("lo"), F.max("oid").alias("hi")).filter("lo < hi").select("h1", "h2", "lo"))
     gone = windows.join(earliest, ["h1", "h2"]).filter("oid > lo").groupBy("oid", "w1").agg(F.collect_set("place").alias("places"))
