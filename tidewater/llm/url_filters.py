@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import whole_row
+from tidewater.llm.common import staged, whole_row
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Group 1 is the host, group 2 the path.
@@ -76,14 +76,18 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     order = F.struct(
         F.length("r_host") + F.length("r_path"), F.length("r_host"), F.col("action"), F.col("rule")
     )
-    best = (
+    # Written before it is joined: then the rows of a url that a third of the pages have can be split.
+    best = staged(
         expressions.join(known, "short").filter("digest = r_digest")
         .groupBy("host", "path").agg(F.max_by(F.struct("rule", "action"), order).alias("best"))
     )
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     rows = pages.select(*[F.col(f"`{c}`") for c in kept])
     judged = pages.select(whole_row(rows).alias("row"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    return judged.join(best, ["host", "path"], "left").select(
+    # Rows without a host fit no rule. They pass by, or they would all be one key of the join.
+    ruled = judged.filter("host <> ''").join(best, ["host", "path"], "left")
+    bare = judged.filter("host = ''").withColumn("best", F.lit(None).cast(best.schema["best"].dataType))
+    return ruled.unionByName(bare).select(
         *[F.col("row")[c].alias(c) for c in kept], "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.action", F.lit(default)).alias("verdict"),
     )
