@@ -32,9 +32,12 @@ GRID: Mapping[str, Sequence[float]] = {
     "word_chars_mean": (40.0, 30.0, 20.0, 16.0, 13.0, 11.0),
 }
 
+#: What `measures` adds.
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
-#: Low bits of a packed window that hold its place; the bits above hold its hash.
-PLACE_BITS = 24
+#: Low bits of a packed window that hold its place: as many as a place in an array can have. The 33 bits above hold
+#: its hash; windows whose hashes meet by chance are told apart by their words afterwards.
+PLACE_BITS = 31
 
 
 def words(text: Column) -> Column:
@@ -137,23 +140,25 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, level: f
     """(stratum, rule, cutoff): certified cutoffs, of each stratum and rule the one that is worth most.
 
     `labels` holds doc_id and quality (1 good, 0 bad; other rows are passed over; of several labels of a
-    document the lowest counts). At most strata x rules rows, whatever the size of the tables.
+    document the lowest counts). Each labelled doc_id is one trial, however many rows it has: the row that
+    comes first by stratum and measures stands for it. At most strata x rules rows, whatever the size of the tables.
     """
     truth = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("_good"))
     rules = F.array(*[
         F.struct(F.lit(name).alias("rule"), F.lit(i).alias("step"), F.lit(float(c)).alias("cutoff"), (_values()[name] >= c).alias("hit"))
         for name, steps in grid.items() for i, c in enumerate(steps)
     ])
+    once = measured.groupBy("doc_id").agg(F.min(F.struct(stratum(F.col("lang")).alias("stratum"), *MEASURES)).alias("_m")).select("doc_id", "_m.*")
     counted = staged(  # read three times below
-        measured.join(truth, "doc_id").select(stratum(F.col("lang")).alias("stratum"), "_good", F.inline(rules))
+        once.join(truth, "doc_id").select("stratum", "_good", F.inline(rules))
         .groupBy("stratum", "rule", "step", "cutoff").agg(
             F.sum("_good").cast("long").alias("n"), F.sum((F.col("hit") & (F.col("_good") == 1)).cast("long")).alias("k"),
             F.sum((F.col("hit") & (F.col("_good") == 0)).cast("long")).alias("caught"))
     )
-    strata = counted.agg(F.count_distinct("stratum").alias("n_strata"))
+    n_strata = counted.agg(F.count_distinct("stratum")).scalar()
     each = risk / len(grid)
     tested = (
-        counted.join(F.broadcast(strata))  # one row
+        counted.withColumn("n_strata", n_strata)
         .withColumn("tail", F.when(F.col("k") <= F.col("n") * each, binomial_tail(F.col("n"), F.col("k"), F.lit(each))).otherwise(F.lit(1.0)))
         .withColumn("fails", (F.col("tail") > level / (F.col("n_strata") * len(grid))).cast("int"))
     )
@@ -175,7 +180,7 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float =
     is judged but no holdout. Repeated rows stay. Labelled documents are measured twice, once for the
     cutoffs: cheaper than writing all texts beside their measures.
     """
-    own = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "base_failed", "kept")
+    own = (*MEASURES, "base_failed", "kept")
     columns = [c for c in docs.columns if c not in own]
     rows = docs.select(*[F.col(f"`{c}`") for c in columns])
     known = broadcast_if_small(staged(labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()))
@@ -189,5 +194,5 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float =
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
         measured.withColumn("stratum", stratum(F.col("lang"))).join(F.broadcast(wide), "stratum", "left")  # one row per stratum
-        .select(*[F.col("row")[c].alias(c) for c in columns], *own[:6], failed.alias("base_failed"), (~failed & ~hit).alias("kept"))
+        .select(*[F.col("row")[c].alias(c) for c in columns], *MEASURES, failed.alias("base_failed"), (~failed & ~hit).alias("kept"))
     )

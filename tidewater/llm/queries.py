@@ -114,12 +114,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         UNION ALL SELECT 'repeat_share', unnest([0.9, 0.75, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1])::DOUBLE
         UNION ALL SELECT 'word_chars_mean', unnest([40.0, 30.0, 20.0, 16.0, 13.0, 11.0])::DOUBLE),
     truth AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
+    trials AS (
+        SELECT * FROM v JOIN truth USING (doc_id)
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY stratum, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines) = 1),
     counted AS (
         SELECT stratum, rule, cutoff, sum(good)::BIGINT AS n, sum((hit AND good = 1)::INT)::BIGINT AS k, sum((hit AND good = 0)::INT) AS caught
         FROM (SELECT stratum, rule, cutoff, good,
                      CASE rule WHEN 'symbols_per_word' THEN symbols_per_word WHEN 'dup_line_share' THEN dup_line_share
                                WHEN 'repeat_share' THEN repeat_share ELSE word_chars_mean END >= cutoff AS hit
-              FROM v JOIN truth USING (doc_id) CROSS JOIN grid)
+              FROM trials CROSS JOIN grid)
         GROUP BY ALL),
     tested AS (
         SELECT *, CASE WHEN k > n * 0.01 THEN 1.0 ELSE
