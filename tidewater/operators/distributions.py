@@ -12,6 +12,16 @@ from tidewater.functions.numbers import missing
 from tidewater.operators.stats import exact_quantiles
 
 
+#: Bins that one row of a spine is expanded to at once.
+SPINE = 65_536
+
+
+def _spine(groups: DataFrame, last: Column) -> DataFrame:
+    """`groups` with a row for each bin from 0 to `last`, made in stretches, so that no row holds an array as long as the spine."""
+    stretches = groups.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / SPINE)))).repartition("_at")
+    return stretches.withColumn("bin", F.explode(F.sequence(F.col("_at") * SPINE, F.least((F.col("_at") + 1) * SPINE - 1, last)))).drop("_at")
+
+
 def _bin(v: Column, low: Column, high: Column, bins: Column) -> Column:
     """Bin number; the last bin is closed, a constant column falls in bin 0."""
     share = F.coalesce(F.try_divide(v - low, high - low), F.lit(0.0))
@@ -31,8 +41,9 @@ def histogram(df: DataFrame, col: str, bins: int | None, by: Sequence[str] = (),
     counted = src.groupBy(*keys, _bin(F.col("_v"), F.col("_s.lo"), F.col("_s.hi"), F.col("_s.k")).alias("bin")).agg(
         F.count(F.lit(1)).alias("cnt"))
     groups = counted.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
-    spine = groups.withColumn("_s", s.scalar()).select(
-        *keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_s.k") - 1)).alias("bin"), "_s")
+    spine = groups.withColumn("_s", s.scalar())
+    last = F.col("_s.k") - 1
+    spine = spine.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), last))) if bins is not None else _spine(spine, last)
     full = spine.join(counted, [*keys, "bin"], "left")
     width = (F.col("_s.hi") - F.col("_s.lo")) / F.col("_s.k")
     cnt = F.coalesce("cnt", F.lit(0).cast("long"))

@@ -190,8 +190,9 @@ def monthly_flight_load(t: Tables) -> DataFrame:
 def hourly_stream(t: Tables) -> DataFrame:
     stream = t.spark.readStream.schema(t.events.schema).parquet(_own_files(t, "events"))
     windows = hourly.hourly_counts(stream, "ts", F.col("event_type") == "error")
-    hours = hourly.run_to_folder(windows, new_folder(t, "ss01-out"), new_folder(t, "ss01-checkpoint"))
-    done = hourly.with_running_totals(hours)
+    hours = new_folder(t, "ss01-hours")
+    hourly.run_to_folder(windows, hours, new_folder(t, "ss01-checkpoint"))
+    done = hourly.running_totals_to_folder(t.spark, hours, new_folder(t, "ss01-totals"), new_folder(t, "ss01-state"))
     return done.select(F.col("from_ts").cast("timestamp_ntz").alias("from_ts"), "cnt", "cancelled_cnt", "cum_cnt", "cum_cancelled_cnt")
 
 
