@@ -83,6 +83,19 @@ def test_records_keep_their_columns_together(pages):
     assert [tuple(r)[1:] for r in got.orderBy("card_no").collect()] == [(0, "T1", "A", ""), (1, "T2", "", "5")]
 
 
+def test_pages_of_one_file_are_parsed_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(html, "PAGES", 50)
+    page = "<body>%s<img src='a.png'><img src='b.png'></body>"
+    spark.createDataFrame([(7 if i % 2 else i, page % i) for i in range(400)], "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages")
+    one = spark.read.parquet(f"{tmp_path}/pages")
+    for got in (html.extract_images(one), html.extract_images(html.dealt(one))):
+        tasks = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(tasks) == 8 and max(tasks) <= 2 * 60 and sum(tasks) == 800
+    assert got.filter("page_id = 7").count() == 400
+    assert "Repartition" not in html.extract_images(one.limit(50))._jdf.queryExecution().optimizedPlan().toString()
+    assert html.extract_images(one.limit(0)).count() == 0
+
+
 def test_upsert_changes_one_column(spark):
     base = spark.createDataFrame([("1", 10, "old"), ("2", 20, "stay")], "code string, rooms int, description string")
     new = spark.createDataFrame([("1", 99, "new"), ("5F", 30, None)], base.schema)

@@ -244,7 +244,8 @@ def _catalog_pages(t: Tables) -> DataFrame:
         F.lit("</table><div class=\"book\"><a>"), p["p_name"], F.lit("</a><div class=\"author\">"), p["p_brand"],
         F.lit("</div><div class=\"placement\">hall "), p["p_size"], F.lit("</div><div class=\"title_data price\">Цена "), price,
         F.lit("</div></div><div class='book'><a>Second</a><span class=address></span></div><script>var a = '9 9';</script></body></html>"))
-    return t.part.select(F.col("p_partkey").alias("page_id"), page.alias("html"))
+    # Parts are dealt to the tasks while they are small, before they become pages.
+    return html.dealt(t.part).select(F.col("p_partkey").alias("page_id"), page.alias("html"))
 
 
 @job("hx03_images", """

@@ -1,11 +1,13 @@
 """Extraction from stored pages: titles, links, images, table rows, body text, records by class.
 
 A page is parsed once per call with the standard library's parser, inside Arrow batches; Spark
-splits the pages. Everything after the cut into rows is plain column work.
+splits the pages, into tasks of a bounded number of them however they lie in files. Everything
+after the cut into rows is plain column work.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from html.parser import HTMLParser
 
@@ -17,6 +19,9 @@ from pyspark.sql import functions as F
 # HTML elements without an end tag.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
+#: Pages that one task may get before they are dealt anew.
+PAGES = 5_000
+
 
 class _Page(HTMLParser):
     """Collects what the extractors need in one walk."""
@@ -36,6 +41,9 @@ class _Page(HTMLParser):
         self._card_at = 0
         self._capture: dict[str, int] = {}
 
+    def updatepos(self, i, j):
+        return j  # lines aren't counted: no extractor asks for a place in the text
+
     def _within(self, tag: str) -> bool:
         return tag in self._open
 
@@ -112,6 +120,19 @@ def _parse(html: str | None, **spec) -> _Page:
     return page
 
 
+def dealt(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """The same rows in tasks of about `most` at most (PAGES, unless given).
+
+    Parsing costs far more than reading: a small file, or one row group, can hold hours of it for a single task.
+    The rows of each task are counted first, which reads no column; rows that lie well are not shuffled.
+    """
+    most = most or PAGES
+    sizes = rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    size = sizes.agg(F.max("n").alias("largest"), F.sum("n").alias("n")).first()
+    # Dealt in turn, not by key, so that a frequent key doesn't matter.
+    return rows.repartition(math.ceil(size["n"] / most)) if (size["largest"] or 0) > 1.2 * most else rows
+
+
 def _each_page(pages: DataFrame, key: str, html: str, schema: str, cut, **spec) -> DataFrame:
     """Run `cut(page) -> list of tuples` over every page; `schema` describes the tuple."""
     kind = dict(pages.dtypes)[key]
@@ -122,7 +143,7 @@ def _each_page(pages: DataFrame, key: str, html: str, schema: str, cut, **spec)
             out = [(k, *row) for k, text in zip(pdf[key], pdf[html]) for row in cut(_parse(text, **spec))]
             yield pd.DataFrame(out, columns=names)
 
-    return pages.select(key, html).mapInPandas(run, f"{key} {kind}, {schema}")
+    return dealt(pages.select(key, html)).mapInPandas(run, f"{key} {kind}, {schema}")
 
 
 def extract_titles(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
