@@ -69,6 +69,23 @@ def test_block_products_equal_numpy(spark, block):
     assert matrix.matmul(empty, empty, block).count() == 0
 
 
+def test_products_over_one_inner_stretch_are_not_shuffled(spark):
+    """Rows of the result are many times the input's; only blocks of the factors travel, to tasks by their products."""
+    rng = np.random.default_rng(8)
+    x, full = rng.integers(1, 9, (130, 3)), rng.random((130, 3)) < 0.6
+    full[:65] = True  # some blocks are filled, some are not
+    long = spark.createDataFrame([(int(i), int(j), float(x[i, j])) for i, j in np.argwhere(full)], "i long, j long, v double")
+    got = matrix.matmul(long, matrix.transpose(long), block=16)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan.split("FlatMapCoGroupsInArrow")[0]
+    cells = got.select("i", "j", "v", F.spark_partition_id().alias("p")).toPandas()
+    met = full.astype(int) @ full.T.astype(int)
+    want = (x * full) @ (x * full).T
+    assert len(cells) == (met > 0).sum() and (cells["v"] == want[cells["i"], cells["j"]]).all()
+    assert cells.groupby("p").size().max() < len(cells) / 3
+    assert matrix.matmul(matrix.transpose(long), long, block=16).count() == 9
+
+
 def test_no_neighbour_without_rows(spark):
     none = _frame(spark, [], [], [])
     assert neighbours.neighbours(none, none, "x", "y", "id", 3).count() == 0
