@@ -33,6 +33,31 @@ def test_neighbours_equal_brute_force(spark, metric, leaf, fan, block):
         assert [found[i][k + 1][0] for k in range(5)] == list(order)
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e-42, 1e36, 1e-10])
+def test_manhattan_neighbours_are_exact_where_single_precision_is_not(scale):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(1, 64))
+    b = (base + rng.integers(0, 3, (700, 64)) * 1e-9) * scale  # nearly equal rows: gaps far below 2^-24 of the values
+    b[:300] = rng.normal(size=(300, 64)) * scale
+    a = np.vstack([b[290:310], base * scale])
+    at, to, far = neighbours.nearest_in(a, b, np.arange(len(b)), 7, "manhattan")
+    for i, q in enumerate(a):
+        d = np.abs(b - q).sum(axis=1)
+        order = np.lexsort((np.arange(len(d)), d))[:7]
+        assert list(to[at == i]) == list(order) and (far[at == i] == d[order]).all()
+    d, off = neighbours.distances(a, b, "manhattan")
+    assert (np.abs(d - np.abs(a[:, None] - b[None]).sum(axis=2)) <= off[:, None]).all()
+
+
+def test_comparisons_are_dealt_by_their_pairs(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "WORK", 500)
+    x = np.random.default_rng(2).normal(size=(300, 2))
+    rows, asked = (_frame(spark, ids, x[ids], [0] * len(ids)).withColumn("cell", F.lit(0).cast("long")) for ids in (np.arange(300), np.arange(0, 300, 4)))
+    found = neighbours._found(asked, rows, "manhattan", 3, 25, "int")
+    tasks = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 3 and found.select("id").distinct().count() == 75
+
+
 def test_queries_visit_few_rows_of_a_clustered_table(spark):
     """Rows compared per query grow far slower than the table."""
     rng = np.random.default_rng(6)
