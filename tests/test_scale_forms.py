@@ -29,6 +29,24 @@ def skewed(spark):
     return spark.createDataFrame(rows, "id long, k string, v int, gap int").cache()
 
 
+def test_counted_quantiles_equal_sketched_ones(skewed):
+    qs = {"a": 0.25, "b": 0.5, "c": 0.99}
+    for col in ("v", "gap", "id"):
+        for by in ([], ["k"]):
+            want = {tuple(r) for r in selection.exact_quantiles(skewed, col, qs, by=by).collect()}
+            for most in (20_000, 40):
+                assert {tuple(r) for r in selection.exact_quantiles(skewed, col, qs, by=by, most=most, counted=True).collect()} == want
+    assert list(selection.exact_quantiles(skewed.limit(0), "v", qs, counted=True).first()) == [None] * 3
+    assert selection.few_valued(skewed, ["v", "id"], most=200) == {"v"}
+
+
+def test_cleaning_sketches_only_columns_of_many_values(spark, monkeypatch):
+    seen, sketch = [], selection._first_cells
+    monkeypatch.setattr(selection, "_first_cells", lambda *a: seen.append(1) or sketch(*a))
+    registry.queries()["q31_cleaning_by_iqr"](spark, "/root/testdata/sf0.001")
+    assert len(seen) <= 4  # 13 thresholds; prices, ratios and filled areas may have many values
+
+
 @pytest.mark.parametrize("keys", [[], ["k"]])
 def test_scans_equal_windows(skewed, keys):
     order = [F.col("v").desc(), F.col("id").asc()]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.numbers import exact_mean, missing, np_round
 from tidewater.functions.text import replace_longest
-from tidewater.operators import features, quality
+from tidewater.operators import features, quality, selection
 from tidewater.staging import stage
 
 # Spellings of one kind of settlement.
@@ -106,12 +106,15 @@ def clean(df: DataFrame, trims: Mapping[str, tuple[str, float]], skip_years: Seq
     def trim(d: DataFrame, c: str) -> DataFrame:
         kind, x = trims.get(c, (None, None))
         if kind == "quantile":
-            return quality.trim_quantile(d, c, x)
+            return quality.trim_quantile(d, c, x, c in few)
         if kind == "iqr":
-            return quality.trim_iqr(d, c, x)
+            return quality.trim_iqr(d, c, x, c in few)
         return d.filter(F.col(c) < x) if kind == "below" else d
 
-    df = trim(stage(df), "images")
+    df = stage(df)
+    # Steps drop rows and fill by group, so a column of few values keeps few: its threshold takes one pass and no sketch.
+    few = selection.few_valued(df, [c for c, (kind, _) in trims.items() if kind != "below" and c in df.columns])
+    df = trim(df, "images")
     df = trim(df, "last_price").withColumn("last_price", np_round(F.col("last_price")))
     df = trim(df, "total_area").withColumn("first_day", F.date_trunc("day", "first_day").cast("timestamp_ntz"))
     df = trim(df.replace(0.0, 1.0, ["rooms"]), "rooms")

@@ -162,23 +162,23 @@ def fill_nearest_group(df: DataFrame, key: str, target: str, value: str, signed:
         target, F.coalesce(target, "_near")).select(*df.columns)
 
 
-def trim_quantile(df: DataFrame, col: str, q: float) -> DataFrame:
+def trim_quantile(df: DataFrame, col: str, q: float, counted: bool = False) -> DataFrame:
     """Keep rows at or below the quantile; the threshold is one number, so it reaches the scan. Nulls go."""
-    limit = quantile_numbers(df, col, {"q": q})["q"]
+    limit = quantile_numbers(df, col, {"q": q}, counted)["q"]
     return df.filter(F.col(col) <= F.lit(limit))
 
 
-def iqr_bounds(df: DataFrame, col: str, k: float = 1.5) -> tuple[float, float]:
-    row = quantile_numbers(df, col, {"a": 0.25, "b": 0.75})
+def iqr_bounds(df: DataFrame, col: str, k: float = 1.5, counted: bool = False) -> tuple[float, float]:
+    row = quantile_numbers(df, col, {"a": 0.25, "b": 0.75}, counted)
     if row["a"] is None:
         return float("-inf"), float("inf")
     spread = row["b"] - row["a"]
     return row["a"] - k * spread, row["b"] + k * spread
 
 
-def trim_iqr(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
+def trim_iqr(df: DataFrame, col: str, k: float = 1.5, counted: bool = False) -> DataFrame:
     """Keep rows within k interquartile ranges of the quartiles, ends included. Nulls go."""
-    low, high = iqr_bounds(df, col, k)
+    low, high = iqr_bounds(df, col, k, counted)
     return df.filter(F.col(col).between(low, high))
 
 

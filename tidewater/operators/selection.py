@@ -97,18 +97,30 @@ def _narrowed(cells: DataFrame, keys: Sequence[str], probs: Sequence[float], mos
         F.sum("_c").alias("_c"), F.min("_rep").alias("_rep"), F.max("_top").alias("_top")).drop("_bucket", "_own")
 
 
+def few_valued(df: DataFrame, cols: Sequence[str], most: int = CELLS) -> set[str]:
+    """The columns that have fewer than about half of `most` different values, from one pass over all of them."""
+    if not cols:
+        return set()
+    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    return {c for c in cols if row[c] <= most // 2}
+
+
 def exact_quantiles(df: DataFrame, col: str, qs: Mapping[str, float], by: Sequence[str] = (),
-                    accuracy: int = ACCURACY, most: int = CELLS, fan: int | None = None) -> DataFrame:
+                    accuracy: int = ACCURACY, most: int = CELLS, fan: int | None = None, counted: bool = False) -> DataFrame:
     """Exact quantiles with linear interpolation, one output column per entry of `qs`; nulls and NaN don't count.
 
-    `most` bounds the cells of a group when its ranks are read off, `fan` is the number of buckets of a round. Results
-    don't depend on either. Without values, an ungrouped call gives one row of nulls.
+    `most` bounds the cells of a group when its ranks are read off, `fan` is the number of buckets of a round. `counted` makes
+    every value a cell at once, without a sketch: one pass, meant for columns of few values. Results don't depend on any
+    of them. Without values, an ungrouped call gives one row of nulls.
     """
     names, probs = list(qs), list(qs.values())
     fan = fan or 64 + 16 * len(probs)
     keys = [f"_k{i}" for i in range(len(by))]
     src = df.select(*[F.col(k).alias(o) for k, o in zip(by, keys)], missing(F.col(col)).alias("_v")).filter(F.col("_v").isNotNull())
-    cells = _first_cells(src, keys, probs, accuracy)
+    if counted:
+        cells = src.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).select(*keys, "_c", F.col("_v").alias("_rep"), F.col("_v").alias("_top"))
+    else:
+        cells = _first_cells(src, keys, probs, accuracy)
     if cells is None:
         return src.agg(*[F.max(F.col("_v").cast("double")).alias(n) for n in names])
     cells, size = _counted(cells)
@@ -138,7 +150,7 @@ def exact_quantiles(df: DataFrame, col: str, qs: Mapping[str, float], by: Sequen
     return per.select(*by, *out)
 
 
-def quantile_numbers(df: DataFrame, col: str, qs: Mapping[str, float]) -> dict[str, float | None]:
+def quantile_numbers(df: DataFrame, col: str, qs: Mapping[str, float], counted: bool = False) -> dict[str, float | None]:
     """Exact quantiles as numbers on the driver (thresholds)."""
-    row = exact_quantiles(df, col, qs).first()
+    row = exact_quantiles(df, col, qs, counted=counted).first()
     return {n: row[n] if row is not None else None for n in qs}
