@@ -257,6 +257,26 @@ def test_similar_sets_share_as_many_signatures_as_their_tag_says():
             assert shared >= 0 or any(len(x[k][1] & y[k][1]) >= min(x[k][0], y[k][0]) for k in x.keys() & y.keys())
 
 
+def test_signatures_travel_packed_and_whole(spark):
+    rng = np.random.default_rng(5)
+    own = np.repeat(rng.integers(-(1 << 63), (1 << 63) - 1, 1_000), 200)
+    sig, tag = rng.integers(0, 1 << 64, len(own), dtype=np.uint64), np.where(np.arange(len(own)) % 3, 4 * 64 + 16, 12 * 64 + 3).astype(np.int32)
+    sig[1::10] = sig[rng.integers(0, len(sig), len(sig[1::10]))]  # some that several sets have
+    sig[:200:40] = sig[200:400:40] = np.uint64(0), np.uint64(2**64 - 1), sig[7], sig[7], sig[7]
+    for buckets in (1, 7, 500):
+        rows = list(jaccard_join._packed(sig, own, tag, buckets))
+        # Sent one by one, a signature takes 18 bytes once it is compressed.
+        assert sum(len(plain) + len(dense) for _, _, plain, dense in rows) < 14 * len(sig)
+        back = [np.concatenate(c) for c in zip(*(jaccard_join._unpacked(*row, buckets) for row in rows))]
+        assert sorted(zip(*(c.tolist() for c in back))) == sorted(zip((sig >> np.uint64(16)).tolist(), own.tolist(), tag.tolist()))
+    twice = [*jaccard_join._packed(sig, own, tag, 500), *jaccard_join._packed(sig[:900], own[:900], tag[:900], 500)]
+    got = jaccard_join._met(spark.createDataFrame([(b, n, bytes(x), bytes(y)) for b, n, x, y in twice], "bucket int, rows int, plain binary, dense binary").repartition(3), 500).collect()
+    sets = {}
+    for s, o in zip((sig >> np.uint64(16)).tolist(), own.tolist()):
+        sets.setdefault(s, set()).add(o)
+    assert sorted((r["sig"], r["set"], r["often"], r["b"]) for r in got) == sorted((s, o, len(x), min(x)) for s, x in sets.items() if len(x) > 1 for o in x)
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(30)] + [(7, 7)]
