@@ -58,6 +58,40 @@ def test_comparisons_are_dealt_by_their_pairs(spark, monkeypatch):
     assert len(tasks) >= 3 and found.select("id").distinct().count() == 75
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_queries_are_not_copied_to_cells_that_all_have_to_be_read(spark, kind):
+    """Directions at random in 32 dimensions: no cell can be left out, so a query is one row, not one for each cell."""
+    x = np.random.default_rng(8).normal(size=(1_500, 32)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = spark.createDataFrame(pd.DataFrame({"id": np.arange(1_500), "y": np.arange(1_500) % 7, "x": list(x)}), f"id long, y int, x array<{kind}>")
+    asked = rows.filter("id % 10 = 0")
+    rows = rows.filter("id % 10 <> 0")
+    placed, cells = neighbours.visits(rows, asked.select("id", "x"), 5, "euclid", 128, 16, 400)
+    assert cells.select("cell").distinct().count() > 10 and cells.count() == 1_350
+    assert placed.count() <= 3 * 150 and placed.select("id").distinct().count() == 150
+    assert placed.schema["x"].dataType == cells.schema["x"].dataType == rows.schema["x"].dataType
+    whole = neighbours.under(placed, cells).groupBy("cell").count()
+    assert placed.join(whole, "cell").groupBy("id").agg(F.sum("count").alias("n")).filter("n >= 5").count() == 150
+    got = neighbours.neighbours(rows, asked, "x", "y", "id", 5, "euclid", 128, 16, 400).collect()
+    found = {(r["id"], r["rank"]): (r["neighbour"], r["y"]) for r in got}
+    others, x = np.flatnonzero(np.arange(1_500) % 10), x.astype(float)
+    for i in range(0, 1_500, 10):
+        near = others[np.argsort(np.sqrt(((x[others] - x[i]) ** 2).sum(axis=1)), kind="stable")[:5]]
+        assert [found[i, k + 1] for k in range(5)] == [(j, j % 7) for j in near]
+
+
+def test_queries_that_leave_some_children_out_go_on_down(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.normal(0, 1, (5_000, 2)), rng.normal(0, 500, (500, 2))])
+    rows = spark.createDataFrame(pd.DataFrame({"id": np.arange(5_500), "y": 0, "x": list(x)}), "id long, y int, x array<double>")
+    compared = []
+    for share in (neighbours.WHOLE, 2.0):
+        monkeypatch.setattr(neighbours, "WHOLE", share)
+        placed, cells = neighbours.visits(rows, rows.filter("id < 5000 and id % 50 = 0").select("id", "x"), 5, "euclid", 128, 16, 2_000)
+        compared.append(placed.join(neighbours.under(placed, cells).groupBy("cell").count(), "cell").agg(F.sum("count")).head()[0])
+    assert compared[0] < 1.5 * compared[1]
+
+
 def test_queries_visit_few_rows_of_a_clustered_table(spark):
     """Rows compared per query grow far slower than the table."""
     rng = np.random.default_rng(6)

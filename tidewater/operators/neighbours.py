@@ -3,8 +3,9 @@
 Training rows are cut into cells around sampled pivots, level by level, until a cell has a few thousand rows; so
 the number of pivots and of levels grows with the table. Queries first go down to the cell nearest to them, and the k
 distances found there bound what a neighbour can be. With this bound they go down again into every child that
-can hold a nearer row by the triangle inequality. Rows and queries meet as blocks, compared by one matrix
-product; distances that count are computed anew from the differences.
+can hold a nearer row by the triangle inequality. Where that leaves out less than a quarter of a cell's children and rows, a query stays
+and meets the cell as a whole, so it isn't copied to cells that all have to be read. Rows and queries meet as blocks,
+compared by one matrix product; distances that count are computed anew from the differences.
 """
 
 from __future__ import annotations
@@ -13,11 +14,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from tidewater.staging import stage
 
 #: Rows of a cell that isn't cut, pivots of one that is, rows of a block, and the depth at which cutting ends.
 LEAF, FAN, BLOCK, DEPTH = 4_096, 64, 20_000, 5
+#: Queries of a block that goes down, each to many children maybe; rows of one task; and the share of a cell from which it is compared as a whole.
+ASKING, ROWS, WHOLE = 2_000, 50_000, 0.75
 #: Child cells are numbered parent * WIDTH + 1, 2, ...
 WIDTH = 4_096
 #: Pairs that one numpy step compares, that stay in the processor's cache, and that one task compares, up to so many tasks.
@@ -90,15 +94,16 @@ def nearest_in(a: np.ndarray, b: np.ndarray, ids: np.ndarray, k: int, metric: st
     return (np.concatenate(at), np.concatenate(to), np.concatenate(far)) if at else (none, none, np.zeros(0))
 
 
-def _meet(left: DataFrame, right: DataFrame, work, schema: str, block: int, salt: Column) -> DataFrame:
-    """`work` on every pair of blocks of the two sides of a cell; cells of any size are spread over many tasks."""
+def _meet(left: DataFrame, right: DataFrame, work, schema: str, block: int, salt: Column, rows: int | None = None) -> DataFrame:
+    """`work` on every pair of blocks of the two sides of a cell; cells of any size are spread over many tasks. Blocks have up to about `block` rows, those of the left side `rows` if given."""
     count = F.count(F.lit(1))
-    cuts = left.groupBy("cell").agg(F.ceil(count / block).cast("int").alias("ls"), count.alias("ln")).join(
+    cuts = left.groupBy("cell").agg(F.ceil(count / (rows or block)).cast("int").alias("ls"), count.alias("ln")).join(
         right.groupBy("cell").agg(F.ceil(count / block).cast("int").alias("rs"), count.alias("rn")), "cell")
-    cuts = stage(cuts.select("cell", "ls", "rs", (F.col("ln").cast("double") * F.col("rn")).alias("pairs")))
-    # Tasks by the pairs to compare: the rows' bytes say little about them.
-    tasks = min(TASKS, int((cuts.agg(F.sum("pairs")).first()[0] or 0) // WORK) + 1)
-    cuts = cuts.drop("pairs")
+    cuts = stage(cuts.select("cell", "ls", "rs", (F.col("ln").cast("double") * F.col("rn")).alias("pairs"), (F.col("ln") * F.col("rs") + F.col("rn") * F.col("ls")).alias("copies")))
+    # Tasks by the pairs to compare, of which the rows' bytes say little, and by the rows where these are many.
+    size = cuts.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    tasks = min(TASKS, max(int(size[0] // WORK), size[1] // ROWS) + 1)
+    cuts = cuts.drop("pairs", "copies")
     one = left.join(cuts, "cell").withColumn("lb", F.pmod(F.xxhash64("id"), F.col("ls")).cast("int")).withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("rs") - 1))).drop("ls", "rs")
     two = right.join(cuts, "cell").withColumn("rb", F.pmod(salt, F.col("rs")).cast("int")).withColumn("lb", F.explode(F.sequence(F.lit(0), F.col("ls") - 1))).drop("ls", "rs")
     one, two = (d.repartition(tasks, "cell", "lb", "rb").groupBy("cell", "lb", "rb") for d in (one, two))
@@ -107,11 +112,12 @@ def _meet(left: DataFrame, right: DataFrame, work, schema: str, block: int, salt
 
 def _split(rows: DataFrame, level: int, metric: str, leaf: int, fan: int, block: int, label: str) -> tuple[DataFrame, DataFrame, DataFrame] | None:
     """(rows that stay, rows in their child cells, the children) of a level; None when no cell is to be cut."""
+    kind = rows.schema["x"].dataType.simpleString()
     big = stage(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "x")).alias("least")).filter(F.col("size") > leaf))
     if big.isEmpty():
         return None
     resting, cut = rows.join(big, "cell", "left_anti"), rows.join(big.select("cell", "size"), "cell")
-    chance = F.pmod(F.xxhash64("id", F.lit(level)), F.lit(1 << 30)) < F.lit(float(fan) * (1 << 30)) / F.col("size")
+    chance = F.pmod(F.xxhash64("id", F.lit(level)), F.lit(1 << 30)) < F.least(F.lit(float(fan)), F.col("size") * 4 / leaf) * (1 << 30) / F.col("size")  # children of a quarter leaf at least
     sample = cut.filter(chance).select("cell", "id", "x").union(big.select("cell", "least.id", "least.x"))  # one pivot in any case
     picked = sample.groupBy("cell", "id").agg(F.min("x").alias("x"))
     pivots = stage(picked.withColumn("at", F.row_number().over(Window.partitionBy("cell").orderBy("id"))).filter(F.col("at") < WIDTH))
@@ -128,7 +134,7 @@ def _split(rows: DataFrame, level: int, metric: str, leaf: int, fan: int, block:
         return pa.table({"id": a["id"], "y": a["y"], "x": a["x"], "cell": pa.array(cell), "r": pa.array(exact_distances(x, p[at], metric))})
 
     # Few pivots per cell, so that all of a cell's are one block; the rows carry the salt.
-    moved = stage(_meet(cut.drop("size"), pivots, assign, f"id long, y {label}, x array<double>, cell long, r double", max(block, WIDTH), F.lit(0)))
+    moved = stage(_meet(cut.drop("size"), pivots, assign, f"id long, y {label}, x {kind}, cell long, r double", max(block, WIDTH), F.lit(0)))
     children = moved.groupBy("cell").agg(F.max("r").alias("radius"), F.count(F.lit(1)).alias("n"))
     named = pivots.withColumn("child", F.col("cell") * WIDTH + F.col("at")).select("cell", "child", "x")
     nodes = stage(named.join(children.withColumnRenamed("cell", "child"), "child"))
@@ -139,14 +145,18 @@ def _split(rows: DataFrame, level: int, metric: str, leaf: int, fan: int, block:
 
 
 def _down(queries: DataFrame, nodes: DataFrame, metric: str, k: int, block: int, nearest: bool) -> DataFrame:
-    """Queries (id, x, bound, cell) one level further: into the nearest child, or into all that the bound doesn't exclude."""
+    """Queries (id, x, bound, cell) one level further: into the nearest child, or into all that the bound doesn't exclude.
+
+    Where these are more than WHOLE of the children and of the cell's rows, the query stays in the cell, which then is compared as a whole.
+    """
+    kind = queries.schema["x"].dataType.simpleString()
 
     def work(a: pa.Table, b: pa.Table) -> pa.Table:
         x, p = matrix(a), matrix(b)
         if not len(x):
             return a.select(["id", "x", "bound", "cell"])
         child, radius, n, bound = (np.asarray(t[c]) for t, c in ((b, "child"), (b, "radius"), (b, "n"), (a, "bound")))
-        rows, cells, bounds = [], [], []
+        rows, cells, bounds, here = [], [], [], np.asarray(a["cell"])
         for i in range(0, len(x), step := max(1, _PAIRS // max(1, len(p)))):
             d, off = distances(x[i : i + step], p, metric)
             limit = bound[i : i + step]
@@ -154,16 +164,21 @@ def _down(queries: DataFrame, nodes: DataFrame, metric: str, k: int, block: int,
                 limit = np.minimum(limit, (d + radius)[:, n >= k].min(axis=1) + 2 * off)
             if nearest:
                 row, col = np.arange(len(d)), d.argmin(axis=1)
+                cell = child[col]
             else:
-                row, col = np.nonzero(d - radius - 2 * off[:, None] <= limit[:, None])
+                reach = d - radius - 2 * off[:, None] <= limit[:, None]
+                whole = (reach @ n > WHOLE * n.sum()) & (reach.sum(axis=1) > WHOLE * len(n))
+                row, col = np.nonzero(reach & ~whole[:, None])
+                stays = np.flatnonzero(whole)
+                row, cell = np.append(row, stays), np.append(child[col], here[i : i + step][stays])
             rows.append(row + i)
-            cells.append(child[col])
+            cells.append(cell)
             bounds.append(limit[row])
         at = pa.array(np.concatenate(rows))
         return pa.table({"id": a["id"].take(at), "x": a["x"].take(at), "bound": pa.array(np.concatenate(bounds)), "cell": pa.array(np.concatenate(cells))})
 
     here = nodes.select("cell").distinct()
-    moved = _meet(queries.join(here, "cell", "left_semi"), nodes, work, "id long, x array<double>, bound double, cell long", max(block, WIDTH), F.lit(0))
+    moved = _meet(queries.join(here, "cell", "left_semi"), nodes, work, f"id long, x {kind}, bound double, cell long", max(block, WIDTH), F.lit(0), ASKING)
     return stage(queries.join(here, "cell", "left_anti").unionByName(moved))
 
 
@@ -177,9 +192,9 @@ def _found(visits: DataFrame, rows: DataFrame, metric: str, k: int, block: int,
 
 
 def visits(rows: DataFrame, queries: DataFrame, k: int, metric: str, leaf: int, fan: int, block: int) -> tuple[DataFrame, DataFrame]:
-    """(queries, rows) in cells such that every query stands in each cell that can hold one of its k nearest rows.
+    """(queries, rows) in cells such that every query stands in each cell that can hold one of its k nearest rows, or in one that it lies in.
 
-    Takes rows (id, y, x) and queries (id, x); queries have different ids.
+    Rows stand in the smallest cells; `under` gives them for the cells that queries stand in. Takes rows (id, y, x) and queries (id, x); queries have different ids.
     """
     label = rows.schema["y"].dataType.simpleString()
     rows = rows.withColumn("cell", F.lit(0).cast("long"))
@@ -205,6 +220,13 @@ def visits(rows: DataFrame, queries: DataFrame, k: int, metric: str, leaf: int,
     return q, rows
 
 
+def under(placed: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows once for each cell that queries stand in and they lie in, which is at most one cell of each level."""
+    held = rows.select("cell").distinct().withColumn("whole", F.explode(F.array_distinct(F.array(*[F.shiftright("cell", i * (WIDTH.bit_length() - 1)) for i in range(DEPTH + 1)]))))
+    held = stage(held.join(placed.select(F.col("cell").alias("whole")).distinct(), "whole", "left_semi"))
+    return rows.join(held, "cell").drop("cell").withColumnRenamed("whole", "cell")
+
+
 def neighbours(train: DataFrame, queries: DataFrame, features: str, target: str, key: str, k: int,
                metric: str = "euclid", leaf: int = LEAF, fan: int = FAN, block: int = BLOCK) -> DataFrame:
     """The k nearest training rows of each query: (key, rank, neighbour, distance, target). Exact, ties to the smaller key.
@@ -212,10 +234,13 @@ def neighbours(train: DataFrame, queries: DataFrame, features: str, target: str,
     Rows and queries without features take no part; queries have different keys. `metric` is "euclid" or "manhattan".
     `leaf`, `fan` and `block` shape the work, not the result.
     """
+    # Single precision stays as it is until it is compared: that is half of the bytes that move.
+    kind = "array<float>" if all(isinstance(d.schema[features].dataType, ArrayType) and isinstance(d.schema[features].dataType.elementType, FloatType) for d in (train, queries)) else "array<double>"
     rows = train.filter(F.col(features).isNotNull()).select(
-        F.col(key).cast("long").alias("id"), F.col(target).alias("y"), F.col(features).cast("array<double>").alias("x"))
-    q = queries.filter(F.col(features).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(features).cast("array<double>").alias("x"))
+        F.col(key).cast("long").alias("id"), F.col(target).alias("y"), F.col(features).cast(kind).alias("x"))
+    q = queries.filter(F.col(features).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(features).cast(kind).alias("x"))
     placed, rows = visits(rows, q, k, metric, leaf, fan, block)
+    rows = under(placed, rows)
     rank = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbour"))
     found = _found(placed, rows, metric, k, block, rows.schema["y"].dataType.simpleString())
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select(
