@@ -49,6 +49,20 @@ def test_manhattan_neighbours_are_exact_where_single_precision_is_not(scale):
     assert (np.abs(d - np.abs(a[:, None] - b[None]).sum(axis=2)) <= off[:, None]).all()
 
 
+@pytest.mark.parametrize("metric", ["euclid", "manhattan"])
+def test_equal_rows_are_compared_in_bounded_memory(metric):
+    import tracemalloc
+
+    b = np.tile(np.random.default_rng(1).normal(size=(2, 64)), (5_000, 1))
+    a, ids = b[:60], np.arange(len(b))[::-1].copy()
+    tracemalloc.start()
+    at, to, far = neighbours.nearest_in(a, b, ids, 3, metric)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6  # 250,000 pairs of equal rows at a time would take 128 MB for each side
+    assert (far == 0).all() and [sorted(ids[to[at == i]]) for i in range(60)] == [[(i + 1) % 2, (i + 1) % 2 + 2, (i + 1) % 2 + 4] for i in range(60)]
+
+
 def test_comparisons_are_dealt_by_their_pairs(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "WORK", 500)
     x = np.random.default_rng(2).normal(size=(300, 2))

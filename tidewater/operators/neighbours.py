@@ -26,6 +26,8 @@ ASKING, ROWS, WHOLE = 2_000, 50_000, 0.75
 WIDTH = 4_096
 #: Pairs that one numpy step compares, that stay in the processor's cache, and that one task compares, up to so many tasks.
 _PAIRS, _TILE, WORK, TASKS = 500_000, 65_536, 100_000_000, 4_000
+#: Numbers of each side that are compared exactly at a time.
+_EXACT = 1_000_000
 
 
 def matrix(table: pa.Table) -> np.ndarray:
@@ -42,6 +44,14 @@ def exact_distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     return np.sqrt((gap * gap).sum(axis=1)) if metric == "euclid" else np.abs(gap).sum(axis=1)
 
 
+def paired_distances(a: np.ndarray, row: np.ndarray, b: np.ndarray, col: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of row[i] of a and col[i] of b; the rows are copied a stretch at a time, for there may be as many pairs as there are equal rows."""
+    out = np.empty(len(row))
+    for i in range(0, len(row), step := max(1, _EXACT // max(1, a.shape[1]))):
+        out[i : i + step] = exact_distances(a[row[i : i + step]], b[col[i : i + step]], metric)
+    return out
+
+
 def distances(a: np.ndarray, b: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
     """All distances between two blocks, and how far each row's may be off by rounding."""
     if metric == "euclid":
@@ -82,7 +92,7 @@ def nearest_in(a: np.ndarray, b: np.ndarray, ids: np.ndarray, k: int, metric: st
         d, off = distances(part, b, metric)
         limit = np.partition(d, keep - 1, axis=1)[:, keep - 1] + 2 * off
         row, col = np.nonzero(d <= limit[:, None])
-        exact = exact_distances(part[row], b[col], metric)
+        exact = paired_distances(part, row, b, col, metric)
         order = np.lexsort((ids[col], exact, row))
         row, col, exact = row[order], col[order], exact[order]
         place = np.arange(len(row)) - np.searchsorted(row, row)
@@ -131,7 +141,7 @@ def _split(rows: DataFrame, level: int, metric: str, leaf: int, fan: int, block:
         for i in range(0, len(x), step := max(1, _PAIRS // max(1, len(p)))):
             at[i : i + step] = distances(x[i : i + step], p, metric)[0].argmin(axis=1)
         cell = np.asarray(a["cell"]) * WIDTH + np.asarray(b["at"])[at]
-        return pa.table({"id": a["id"], "y": a["y"], "x": a["x"], "cell": pa.array(cell), "r": pa.array(exact_distances(x, p[at], metric))})
+        return pa.table({"id": a["id"], "y": a["y"], "x": a["x"], "cell": pa.array(cell), "r": pa.array(paired_distances(x, np.arange(len(x)), p, at, metric))})
 
     # Few pivots per cell, so that all of a cell's are one block; the rows carry the salt.
     moved = stage(_meet(cut.drop("size"), pivots, assign, f"id long, y {label}, x {kind}, cell long, r double", max(block, WIDTH), F.lit(0)))
