@@ -159,6 +159,19 @@ def test_products_over_one_inner_stretch_are_not_shuffled(spark):
     assert matrix.matmul(matrix.transpose(long), long, block=16).count() == 9
 
 
+def test_blocks_are_copied_for_groups_of_products(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.integers(1, 9, (256, 3))
+    long = spark.createDataFrame([(i, j, float(x[i, j])) for i in range(256) for j in range(3)], "i long, j long, v double")
+    one, two, tasks, final = matrix._dealt(long, matrix.transpose(long), 4)
+    assert final and tasks == 256
+    assert one.count() == two.count() == 16 * x.size  # of 64 blocks that each one meets
+    got = matrix.matmul(long, matrix.transpose(long), block=4).toPandas()
+    assert len(got) == 256 * 256 and (got["v"] == (x @ x.T)[got["i"], got["j"]]).all()
+    monkeypatch.setattr(matrix, "CELLS", 24)  # no more than two blocks of 4 x 3 cells to a side
+    assert matrix._dealt(long, matrix.transpose(long), 4)[0].count() == 32 * x.size
+
+
 def test_no_neighbour_without_rows(spark):
     none = _frame(spark, [], [], [])
     assert neighbours.neighbours(none, none, "x", "y", "id", 3).count() == 0
